@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import bpe, chat, quality, toxicity
+from lakemill.llm import bpe, chat, quality, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,10 +104,15 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_codec(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_quality_rules": op8_quality_rules,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 SQL: dict[str, str] = {"op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL}
