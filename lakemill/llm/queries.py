@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import bpe, chat, quality, simhash, toxicity
+from lakemill.llm import bpe, chat, decontaminate, edit_counts, quality, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,11 +108,31 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all documents before and after three edits of each: a passage
+    replaced at a place given by the id, a title put first, a note put last."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    size = F.length(F.coalesce("text", F.lit("")))
+    edit = lambda start, delete, insert: F.struct(start.cast("long").alias("start"), F.lit(delete).cast("long").alias("delete"), F.lit(insert).alias("insert"))
+    edits = F.array(
+        edit(F.pmod(F.xxhash64("doc_id"), size + 1), 12, " a revised passage, "),
+        edit(F.lit(0), 0, "Title: Revised\n\n"),
+        edit(size + 1_000, 0, "\n[end of document]"),
+    )
+    return edit_counts.edit_counts(docs.withColumn("edits", edits), vocabulary("byte_bpe_50k.json"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
+    "op6_token_counts": op6_token_counts,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 SQL: dict[str, str] = {"op7_chat_formatting": OP7_SQL, "op8_quality_rules": OP8_SQL}
