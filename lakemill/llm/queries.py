@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import bpe, chat, decontaminate, edit_counts, quality, simhash, substring, suffixes, toxicity
+from lakemill.llm import bpe, chat, decontaminate, edit_counts, pitman_yor, quality, simhash, substring, suffixes, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +100,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.suffix_array_dedup(_table(spark, sf_dir, "documents"))
 
@@ -136,6 +140,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
