@@ -38,11 +38,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The two columns operators work on; a null text counts as empty."""
+def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more) -> DataFrame:
+    """The two columns operators work on (and more); a null text counts as empty."""
     return df.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        *more,
     )
 
 

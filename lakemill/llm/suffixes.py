@@ -173,21 +173,23 @@ def _flags(bits: bytes, n: int) -> np.ndarray:
 
 
 def suffix_array_dedup(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, shards: int | None = None
+    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, shards: int | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Remove bytes of ``length``-byte strings that also start earlier.
 
     Earlier means in a document with a smaller id, or before in the same one;
     strings are judged on the input. Returns doc_id, n_bytes, n_removed,
     n_spans, kept_sha256 and, with ``keep_text``, kept_text (characters of
-    which a part was removed go whole); one row per input row. ``length`` is
+    which a part was removed go whole), and the columns named in ``carry`` as a
+    struct of that name; one row per input row. ``length`` is
     at least 72. Null texts count as empty; rows with equal ids are taken in
     order of their texts, one after another; null ids come last. An empty
     table gives no rows; other columns are ignored.
     """
     if length < 3 * TRIPLE:
         raise ValueError(f"length must be at least {3 * TRIPLE}")
-    rows = documents(docs, id_col, text_col)
+    rows = documents(docs, id_col, text_col, *([F.struct(*carry).alias("carry")] if carry else []))
     n = shards or 2 * partitions(rows.sparkSession)
     dealt = with_range_shard(rows, n)
     buckets = n
@@ -251,6 +253,8 @@ def suffix_array_dedup(
 
     def finish(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+        if carry and not len(batch):
+            return pd.DataFrame(columns=[*columns, "carry"])
         if not len(batch):
             return pd.DataFrame(columns=columns)
         shard = Shard(batch, length)
@@ -272,14 +276,19 @@ def suffix_array_dedup(
             out.append((doc, stop - start, int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), text))
             start = stop
         frame = pd.DataFrame(out, columns=columns)
+        if carry:
+            frame["carry"] = shard.rows["carry"]
         return frame.assign(doc_id=shard.rows["doc_id"].astype("Int64"))
 
-    sent = dealt.groupBy("shard").applyInPandas(send, "bucket int, shard int, anchors binary, kinds binary")
+    plain = dealt.select("doc_id", "text", "shard")
+    sent = plain.groupBy("shard").applyInPandas(send, "bucket int, shard int, anchors binary, kinds binary")
     cells = sent.groupBy("bucket").applyInPandas(compare_cells, "shard int, bucket int, n long, earlier binary, mixed binary")
     fields = "bucket int, shard int, own boolean, n long, earlier binary, mixed binary"
-    opened = dealt.groupBy("shard").cogroup(cells.groupBy("shard")).applyInPandas(send_open, fields)
+    opened = plain.groupBy("shard").cogroup(cells.groupBy("shard")).applyInPandas(send_open, fields)
     answers = opened.groupBy("bucket").applyInPandas(compare_prefixes, fields)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+    if carry:
+        schema += f", carry {rows.schema['carry'].dataType.simpleString()}"
     out = dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(finish, schema)
     return out if keep_text else out.drop("kept_text")
 

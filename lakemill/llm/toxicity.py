@@ -121,41 +121,68 @@ def train_model(docs: DataFrame, labels: DataFrame, s: FtrlSettings) -> tuple[np
     return np.frombuffer(got[0].at, "<i4").astype(np.int64), np.frombuffer(got[0].w, "<f4").astype(float), got[0].bias
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], s: FtrlSettings, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Append ``score`` (0 to 1) to doc_id, text and ``keep``; text is dropped."""
+BLOCK = 300_000  # words handled at once
+
+
+def scorer(model: tuple[np.ndarray, np.ndarray, float], s: FtrlSettings):
+    """A function from texts to scores (0 to 1)."""
+    at, w, bias = model
+    table = np.zeros(1 << s.bits, np.float32)
+    table[at] = w
+    memo = WordHash()
+
+    def totals(parts: list[np.ndarray]) -> np.ndarray:
+        doc = np.repeat(np.arange(len(parts)), [p.shape[1] for p in parts])
+        place, owner = features(np.concatenate(parts, axis=1), doc, s.bits)
+        hit = np.nonzero(table[place])[0]
+        once = np.unique(owner[hit].astype(np.int64) << s.bits | place[hit])
+        return np.bincount(once >> s.bits, weights=table[once & ((1 << s.bits) - 1)], minlength=len(parts))
+
+    def run(texts) -> np.ndarray:
+        sums, parts, size = [], [], 0
+        for text in texts:
+            parts.append(hashes_of(text or "", memo))
+            size += parts[-1].shape[1]
+            if size > BLOCK:
+                sums.append(totals(parts))
+                parts, size = [], 0
+        if parts:
+            sums.append(totals(parts))
+        total = np.concatenate(sums) if sums else np.zeros(0)
+        return 1 / (1 + np.exp(-np.clip(total + bias, -35, 35)))
+
+    return run
+
+
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], s: FtrlSettings) -> DataFrame:
+    """doc_id and score for each row of doc_id and text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select("doc_id", *keep).schema.simpleString()[7:-1].replace(":", " ") + ", score double"
-    block = 300_000
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, w, bias = shared.value
-        table = np.zeros(1 << s.bits, np.float32)
-        table[at] = w
-        hashes = WordHash()
+        of = scorer(shared.value, s)
+        for batch in batches:
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": of(batch["text"])})
+
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, score double")
 
-        def totals(parts: list[np.ndarray]) -> np.ndarray:
-            doc = np.repeat(np.arange(len(parts)), [p.shape[1] for p in parts])
-            place, owner = features(np.concatenate(parts, axis=1), doc, s.bits)
-            hit = np.nonzero(table[place])[0]
-            once = np.unique(owner[hit].astype(np.int64) << s.bits | place[hit])
-            return np.bincount(once >> s.bits, weights=table[once & ((1 << s.bits) - 1)], minlength=len(parts))
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, s: FtrlSettings = FtrlSettings(), label_col: str = "toxic", folds: int = 5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, whole, whose text scores below 0.5.
+
+    The model is that of :func:`toxicity`; rows are judged one by one, so
+    null and repeated ids need no care; a null text scores as an empty one.
+    """
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).alias("label")).where(crc_mod(F.col("doc_id"), folds) != 0)
+    shared = docs.sparkSession.sparkContext.broadcast(train_model(documents(docs, text_col=text_col), known, s))
+
+    def run(batches):
+        import pyarrow as pa
+
+        of = scorer(shared.value, s)
         for batch in batches:
-            sums, parts, size = [], [], 0
-            for text in batch["text"]:
-                parts.append(hashes_of(text, hashes))
-                size += parts[-1].shape[1]
-                if size > block:
-                    sums.append(totals(parts))
-                    parts, size = [], 0
-            if parts:
-                sums.append(totals(parts))
-            out = batch.drop(columns="text")
-            total = np.concatenate(sums) if sums else np.zeros(0)
-            out["score"] = 1 / (1 + np.exp(-np.clip(total + bias, -35, 35)))
-            yield out
+            yield batch.filter(pa.array(of(batch.column(batch.schema.get_field_index(text_col)).to_pylist()) < 0.5))
 
-    return docs.select("doc_id", *keep, "text").mapInPandas(run, schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, s: FtrlSettings = FtrlSettings(), label_col: str = "toxic", folds: int = 5) -> DataFrame:
