@@ -6,7 +6,7 @@ confirm which recur and answer each shard with one bit per fingerprint: an
 earlier shard has it. A shard then knows its recurring passages (windows that
 an earlier shard has, and windows of several of its own documents). It takes
 one copy of each, compiles their anchor phrases into an Aho-Corasick automaton
-over word numbers, streams every one of its documents through it, and extends
+over word codes, streams every one of its documents through it, and extends
 each hit to the whole occurrence of the passage.
 
 An anchor phrase is the five-word phrase of a window with the least
@@ -43,6 +43,43 @@ def runs_hash(h: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
+def word_codes(number: dict[bytes, int]) -> dict[bytes, str]:
+    """Words as strings of one length in a small alphabet, which keeps the
+    automaton's nodes narrow. First letters are capitals, so that matches
+    begin where words do."""
+    base, wide = 24, 1
+    while base**wide < len(number):
+        wide += 1
+    out = {}
+    for w, i in number.items():
+        digits = []
+        for _ in range(wide):
+            i, x = divmod(i, base)
+            digits.append(x)
+        out[w] = chr(65 + digits[0]) + "".join([chr(97 + x) for x in digits[1:]])
+    return out
+
+
+def same_words(run: str, at: int, line: str, here: int, most: int, wide: int, ahead: bool) -> int:
+    """How many words from (or before) two places agree, up to ``most``."""
+    sign = 1 if ahead else -1
+
+    def agree(k: int) -> bool:
+        i, j, m, n = at * wide, (at + sign * k) * wide, here * wide, (here + sign * k) * wide
+        return run[i:j] == line[m:n] if ahead else run[j:i] == line[n:m]
+
+    if agree(most):
+        return most
+    low, high, step = 0, most - 1, 2  # doubling from near, then halving
+    while low < high:
+        k = min(high, low + step)
+        if agree(k):
+            low, step = k, 2 * step
+        else:
+            high, step = k - 1, max(1, step // 2)
+    return low
+
+
 class Shard:
     """The documents of one shard as one run of word hashes."""
 
@@ -85,49 +122,48 @@ class Shard:
         if not passages:
             return removed
         number: dict[bytes, int] = {}
-        # all passages as one run of word numbers, with a 0 after each
-        stream, source, begin = [], [], []
+        for doc, a, b, _ in passages:
+            for w in self.words[doc][a:b]:
+                number.setdefault(w, len(number))
+        code = word_codes(number)
+        wide, unknown = len(next(iter(code.values()))), "~" * len(next(iter(code.values())))
+        # all passages as one run of words, with a stop after each
+        parts, source, begin = [], [], []
         for p, (doc, a, b, _) in enumerate(passages):
-            begin.append(len(stream))
-            stream += [number.setdefault(w, len(number) + 1) for w in self.words[doc][a:b]] + [0]
+            begin.append(len(parts))
+            parts += [code[w] for w in self.words[doc][a:b]] + ["." * wide]
             source += [p] * (b - a + 1)
-        run = np.array(stream, np.int64)
-        places: dict[tuple, list[int]] = {}
+        run = "".join(parts)
+        places: dict[str, list[int]] = {}
         for p, (doc, a, b, _) in enumerate(passages):
             phrase = runs_hash(self.hashes[doc][a:b], PHRASE)
-            span = self.width - PHRASE + 1
-            view = np.lib.stride_tricks.sliding_window_view(phrase, span)
+            view = np.lib.stride_tricks.sliding_window_view(phrase, self.width - PHRASE + 1)
             for at in np.unique(view.argmin(axis=1) + np.arange(len(view))):
                 at = begin[p] + int(at)
-                places.setdefault(tuple(stream[at : at + PHRASE]), []).append(at)
-        machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+                places.setdefault(run[at * wide : (at + PHRASE) * wide], []).append(at)
+        machine = ahocorasick.Automaton()
         for phrase, at in places.items():
             machine.add_word(phrase, at)
         machine.make_automaton()
-        number_of = number.get
+        code_of = code.get
         for d, words in enumerate(self.words):
-            if len(words) < self.width:
+            n = len(words)
+            if n < self.width:
                 continue
-            line = tuple([number_of(w, 0) for w in words])
-            text = None
+            line = "".join([code_of(w, unknown) for w in words])
+            rank = self.rank[d]
             done: dict[int, int] = {}  # diagonal to where it has been read
             for end, where in machine.iter(line):
-                here = end + 1 - PHRASE
-                if text is None:
-                    text = np.array(line, np.int64)
+                here = (end + 1) // wide - PHRASE
                 for at in where:
                     if done.get(at - here, -1) > here:
                         continue
-                    home, a, b, external = passages[source[at]]
-                    if not external and self.rank[home] >= self.rank[d]:
+                    p = source[at]
+                    home, a, b, external = passages[p]
+                    if not external and self.rank[home] >= rank:
                         continue
-                    lo, hi = begin[source[at]], begin[source[at]] + b - a
-                    back = min(at - lo, here)
-                    left = run[at - back : at][::-1] != text[here - back : here][::-1]
-                    back = int(left.argmax()) if left.any() else back
-                    ahead = min(hi - at, len(text) - here)
-                    right = run[at : at + ahead] != text[here : here + ahead]
-                    ahead = int(right.argmax()) if right.any() else ahead
+                    back = same_words(run, at, line, here, min(at - begin[p], here), wide, False)
+                    ahead = same_words(run, at, line, here, min(begin[p] + b - a - at, n - here), wide, True)
                     done[at - here] = here + ahead
                     if back + ahead >= self.width:
                         removed[d][here - back : here + ahead] = True
