@@ -26,9 +26,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import ascii_lower_words, bucket_of, checkpointed, documents, mix, partitions
+from lakemill.llm.common import ascii_lower_words, bucket_of, checkpointed, documents, mix
 
 SEED = 42
+BUCKET_BYTES = 4_000_000
 BLOCK = 16
 LOW = np.uint64((1 << BLOCK) - 1)
 NEAR = np.array([1 << i for i in range(BLOCK)], np.uint64)
@@ -127,9 +128,10 @@ def union(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def near_links(distinct: DataFrame) -> DataFrame:
     """Star links (a, b) whose closure joins fingerprints within 3 bits.
 
-    ``distinct`` has one row per fingerprint (column fp). 
+    ``distinct`` has one row per fingerprint (column fp). A bucket is to hold
+    about ``BUCKET_BYTES`` of variants of one projection.
     """
-    buckets = 2 * partitions(distinct.sparkSession)
+    buckets = max(1, -(-distinct.count() * 49 * 9 // BUCKET_BYTES))
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -212,7 +214,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     An empty table gives no rows; other columns are ignored.
     """
     rows = checkpointed(fingerprints(documents(docs, id_col, text_col)))
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = components(near_links(distinct))
     classes = distinct.join(found, distinct.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     classes = checkpointed(classes)
