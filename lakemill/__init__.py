@@ -1 +1 @@
-"""Part of the review-analytics engine."""
+"""Review analytics as DataFrame plans: ingestion, features, Gold grains, serving, checks."""

@@ -1 +1 @@
-"""Part of the review-analytics engine."""
+"""Column expressions: labels, text features, lexicon features, optional scorers."""

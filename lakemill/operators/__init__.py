@@ -1 +1 @@
-"""Part of the review-analytics engine."""
+"""Table operators: Silver join, filters, Gold grains, serving tables, checks, analytics."""

@@ -1 +1 @@
-"""Part of the review-analytics engine."""
+"""Input adapters and the catalog of registered queries."""

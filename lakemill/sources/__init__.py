@@ -1 +1 @@
-"""Part of the review-analytics engine."""
+"""Scans and sinks."""

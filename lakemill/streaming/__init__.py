@@ -1 +1 @@
-"""Part of the review-analytics engine."""
+"""The pipeline is batch only; ``gold_stream`` offers its Gold grains incrementally."""
