@@ -18,6 +18,7 @@ import mmap
 import os
 import re
 import struct
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import documents
+from lakemill.llm.common import checkpointed, documents
 
 def char_class(prop: str) -> str:
     """The inside of a regex class for ``prop`` as the tokenizer library's engine
@@ -37,6 +38,10 @@ def char_class(prop: str) -> str:
     return "".join(f"\\U{ord(r[0]):08x}-\\U{ord(r[-1]):08x}" for r, _ in runs)
 
 
+LATIN_END = "\u0250"
+SIEVE = 1 << 20  # bits of the sieve before a lexicon
+SHIFT = 20  # bits of a token id
+MASK, NONE = (1 << SHIFT) - 1, 1 << 62
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
@@ -63,7 +68,9 @@ def _normalizer():
 
 
 def normalized(word: str) -> str:
-    return word.lower() if word.isascii() else _normalizer().normalize_str(word)
+    if word.isascii() or max(word) < LATIN_END:  # such words are in NFC already
+        return word.lower()
+    return _normalizer().normalize_str(word)
 
 
 class Vocabulary:
@@ -72,11 +79,18 @@ class Vocabulary:
     def __init__(self, data: dict):
         model = data["model"]
         self.ids: dict[str, int] = model["vocab"]
-        self.ranks = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
         self.end: str = model.get("end_of_word_suffix") or ""
         self.special: dict[str, int] = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
-        self.letters = byte_letters()
+        # a pair of ids to its rank and the id it becomes, both in one number, so
+        # that the least number is the next merge
+        self.merges: dict[int, int] = {}
+        for rank, m in enumerate(model["merges"]):
+            a, b = m.split(" ") if isinstance(m, str) else m
+            self.merges[self.ids[a] << SHIFT | self.ids[b]] = rank << SHIFT | self.ids[a + b]
+        letters = byte_letters()
+        self.inner = [self.ids[c] for c in letters]
+        self.last = [self.ids[c + self.end] for c in letters]
         letter, digit, space = map(char_class, (r"\p{L}", r"\p{N}", r"\s"))
         # Fixed value: the vocabulary file's own pre-token pattern.
         self.pretoken = f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^{space}{letter}{digit}]+"
@@ -89,27 +103,20 @@ class Vocabulary:
 
     def merge(self, pretoken: str) -> list[int]:
         """Exact merges of one pre-token: lowest rank first, leftmost first."""
-        letters = self.letters
-        parts = [letters[b] for b in pretoken.encode()]
-        parts[-1] += self.end
-        rank = self.ranks.get
-        while len(parts) > 1:
-            ranks = [rank(p, 1 << 60) for p in zip(parts, parts[1:])]
-            best = min(ranks)
-            if best == 1 << 60:
-                break
-            at = ranks.index(best)
-            left, b = parts[at], parts[at + 1]
-            out, i, n = parts[:at], at, len(parts)
-            while i < n:
-                if i + 1 < n and parts[i] == left and parts[i + 1] == b:
-                    out.append(left + b)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [self.ids[p] for p in parts if p in self.ids]
+        data = pretoken.encode()
+        parts = [self.inner[b] for b in data]
+        parts[-1] = self.last[data[-1]]
+        get = self.merges.get
+        best = [get(a << SHIFT | b, NONE) for a, b in zip(parts, parts[1:])]
+        while best and (least := min(best)) < NONE:
+            at = best.index(least)
+            parts[at] = least & MASK
+            del parts[at + 1], best[at]
+            if at:
+                best[at - 1] = get(parts[at - 1] << SHIFT | parts[at], NONE)
+            if at < len(best):
+                best[at] = get(parts[at] << SHIFT | parts[at + 1], NONE)
+        return parts
 
 
 def compile_lexicon(entries: dict[str, list[int]]) -> bytes:
@@ -157,12 +164,16 @@ def compile_lexicon(entries: dict[str, list[int]]) -> bytes:
         ids += w
         places.append(len(ids))
     number = lambda xs: struct.pack(f"<{len(xs)}I", *xs)
-    sections = [number(first), number(targets), number(outputs), number(places), number(ids), bytes(labels), finals]
-    head, at = [], 4 * 8
+    sieve = bytearray(SIEVE // 8)
+    for w, _ in words:
+        h = zlib.crc32(w) & (SIEVE - 1)
+        sieve[h >> 3] |= 1 << (h & 7)
+    sections = [number(first), number(targets), number(outputs), number(places), number(ids), bytes(sieve), bytes(labels), finals]
+    head, at = [], 4 * 9
     for s in sections:
         head.append(at)
         at += len(s)
-    return struct.pack("<8I", *head, at) + b"".join(sections)
+    return struct.pack("<9I", *head, at) + b"".join(sections)
 
 
 class Lexicon:
@@ -177,15 +188,18 @@ class Lexicon:
             self.map = mmap.mmap(fd, len(block), prot=mmap.PROT_READ)
         finally:
             os.close(fd)
-        at = struct.unpack("<8I", self.map[:32])
+        at = struct.unpack("<9I", self.map[:36])
         view = memoryview(self.map)
         self.first, self.targets, self.outputs, self.places, self.ids = (view[at[i] : at[i + 1]].cast("I") for i in range(5))
-        self.labels, self.finals = at[5], view[at[6] : at[7]]
+        self.sieve, self.labels, self.finals = view[at[5] : at[6]], at[6], view[at[7] : at[8]]
         self.root = len(self.finals) - 1
 
     def get(self, word: str) -> list[int] | None:
-        state, place, find, first, labels = self.root, 0, self.map.find, self.first, self.labels
         data = word.encode()
+        h = zlib.crc32(data) & (SIEVE - 1)
+        if not self.sieve[h >> 3] >> (h & 7) & 1:
+            return None  # most unseen words end here
+        state, place, find, first, labels = self.root, 0, self.map.find, self.first, self.labels
         for i in range(len(data)):
             arc = find(data[i : i + 1], labels + first[state], labels + first[state + 1])
             if arc < 0:
@@ -197,47 +211,60 @@ class Lexicon:
 
 
 class Memo(dict):
-    """A dict that fills itself and forgets everything beyond a size."""
+    """A dict that fills itself; beyond a size it keeps what it used lately."""
 
     def __init__(self, make, limit: int):
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
 class Codec:
-    """Encodes texts to ids (as decimal text) and decodes ids, per worker."""
+    """Encodes texts to ids and decodes ids; one per Python worker."""
 
     def __init__(self, vocabulary: Vocabulary, block: bytes | None = None):
         self.vocabulary, self.lexicon = vocabulary, Lexicon(block) if block else None
         self.find = re.compile(vocabulary.pretoken).findall
-        self.pretokens = Memo(self._pretoken, 200_000)
-        self.words = Memo(self._word, 150_000)
+        #: pre-tokens and words to ids in decimal and decoded text
+        self.pretokens = Memo(self._pretoken, 180_000)
+        self.words = Memo(self._word, 180_000)
 
-    def _pretoken(self, pretoken: str) -> list[int]:
+    def pretoken_ids(self, pretoken: str) -> list[int]:
         ids = self.lexicon.get(pretoken) if self.lexicon else None
         return self.vocabulary.merge(pretoken) if ids is None else ids
 
-    def word_ids(self, word: str) -> list[int]:
-        v, out = self.vocabulary, []
-        for part in v.cut.split(word) if v.cut and "<|" in word else (word,):
-            if part in v.special:
-                out.append(v.special[part])
-            else:
-                for p in self.find(normalized(part)):
-                    out += self.pretokens[p]
+    def _pretoken(self, pretoken: str) -> tuple[str, str]:
+        ids = self.pretoken_ids(pretoken)
+        return " ".join(map(str, ids)), self.decode(ids)
+
+    def pieces(self, word: str) -> list[str | int]:
+        """Pre-tokens and special ids of a stretch without white space."""
+        v = self.vocabulary
+        if not v.cut or "<|" not in word:
+            return self.find(normalized(word))
+        out: list[str | int] = []
+        for part in v.cut.split(word):
+            out += [v.special[part]] if part in v.special else self.find(normalized(part))
         return out
 
     def _word(self, word: str) -> tuple[str, str]:
-        ids = self.word_ids(word)
-        return " ".join(map(str, ids)), self.decode(ids)
+        found = self.pieces(word)
+        if len(found) == 1 and found[0].__class__ is str:
+            return self.pretokens[found[0]]
+        got = [(str(p), self.decode([p])) if isinstance(p, int) else self.pretokens[p] for p in found]
+        return " ".join([a for a, _ in got]), " ".join([b for _, b in got])
 
     def encode(self, text: str) -> list[int]:
-        return [i for w in split_words(text) for i in self.word_ids(w)]
+        pieces = (p for w in split_words(text) for p in self.pieces(w))
+        return [i for p in pieces for i in ([p] if isinstance(p, int) else self.pretoken_ids(p))]
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by spaces: the file names no decoder. Unknown ids vanish."""
@@ -247,7 +274,21 @@ class Codec:
     def both(self, text: str) -> tuple[str, str]:
         """The ids in decimal, joined by spaces, and the decoded text."""
         got = [*map(self.words.__getitem__, split_words(text))]
-        return " ".join([a for a, _ in got if a]), " ".join([b for a, b in got if a])
+        return " ".join([a for a, _ in got]), " ".join([b for _, b in got])
+
+
+_last: tuple = (None, None)
+
+
+def worker_codec(parts: tuple[Vocabulary, bytes]) -> Codec:
+    """The Python worker's codec, kept from task to task with its memory filled.
+
+    A broadcast value is one object per worker, so identity tells it apart.
+    """
+    global _last
+    if _last[0] is not parts:
+        _last = (parts, Codec(*parts))
+    return _last[1]
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -268,11 +309,21 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_words: int) -> bytes:
-    """Compile the pre-tokens of the ``lexicon_words`` most frequent words.
+    """Compile the pre-tokens of the most frequent words.
 
-    That many words reach the driver; the choice affects speed, never ids.
+    At most ``lexicon_words`` words reach the driver: all those as frequent as
+    the least count (on a scale of 1/16 octave) that leaves no more. The
+    choice affects speed, never ids.
     """
-    top = count_words(docs).orderBy(F.desc("n"), "word").limit(lexicon_words).collect()
+    words = checkpointed(count_words(docs).where("n > 1").withColumn("level", F.floor(16 * F.log2("n"))))
+    levels = words.groupBy("level").count().orderBy(F.desc("level")).collect()  # some hundred rows
+    least, total = None, 0
+    for r in levels:
+        total += r["count"]
+        if total > lexicon_words:
+            break
+        least = r["level"]
+    top = words.where(F.col("level") >= least).collect() if least is not None else []
     find = re.compile(vocabulary.pretoken).findall
     pretokens = {p for r in top for p in find(normalized(r["word"]))}
     return compile_lexicon({p: vocabulary.merge(p) for p in pretokens})
@@ -295,7 +346,7 @@ def bpe_codec(
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = Codec(*shared.value)
+        codec = worker_codec(shared.value)
         for batch in batches:
             out: dict[str, list] = {k.split()[0]: [] for k in schema.split(", ")}
             out["doc_id"] = batch["doc_id"].astype("Int64")
