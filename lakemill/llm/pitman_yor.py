@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -168,9 +169,10 @@ def hot_contexts(docs: DataFrame, share: float = 1e-3) -> np.ndarray:
     return np.unique(np.append(np.array([r.h for r in hot], np.int64).view(np.uint64), START))
 
 
-FIELDS = "bucket int, shard int, kind int, keys binary, sizes binary, dishes binary, counts binary, tables binary"
+# one shape for all messages; what a field holds depends on the kind
+FIELDS = "bucket int, shard int, kind int, keys binary, sizes binary, dishes binary, counts binary, tables binary, words binary, word_counts binary"
 NAMES = [f.split()[0] for f in FIELDS.split(", ")]
-WORDS, PAIRS, TABLES, HOT, SEATED, ROOT = range(6)
+SENT, WORDS, TABLES, HOT, SEATED, ROOT = range(6)
 
 
 def part_names(hot: np.ndarray) -> np.ndarray:
@@ -178,8 +180,13 @@ def part_names(hot: np.ndarray) -> np.ndarray:
     return mix(hot[:, None] + (np.arange(HOT_PARTS, dtype=np.uint64) + np.uint64(1)) * M2)
 
 
-def _u32(x: np.ndarray) -> bytes:
-    return pack_planes(x.astype("<u4"))
+def _ints(x: np.ndarray) -> bytes:
+    """Small numbers, packed by planes and compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(pack_planes(x.astype("<u4")))
+
+
+def _uints(data: bytes) -> np.ndarray:
+    return unpack_planes(zstandard.ZstdDecompressor().decompress(data), "<u4").astype(np.int64)
 
 
 def _dishes(x: np.ndarray) -> bytes:
@@ -196,11 +203,10 @@ def _undishes(data: bytes) -> np.ndarray:
 
 def _seat_pairs(rows: pd.DataFrame, bucket: int, buckets: int, hot: np.ndarray) -> list[tuple]:
     """Seat the restaurants of a bucket; answers for shards, tables for words."""
-    rows = rows.sort_values("shard")
     contexts = [unpack_sorted(k) for k in rows["keys"]]
-    sizes = [unpack_planes(s, "<u4").astype(np.int64) for s in rows["sizes"]]
+    sizes = [_uints(s) for s in rows["sizes"]]
     dish = [_undishes(d) for d in rows["dishes"]]
-    count = np.concatenate([unpack_planes(c, "<u4") for c in rows["counts"]]).astype(np.int64)
+    count = np.concatenate([_uints(c) for c in rows["counts"]])
     restaurants, number = np.unique(np.concatenate(contexts), return_inverse=True)
     number = np.repeat(number, np.concatenate(sizes))
     words, word = np.unique(np.concatenate(dish), return_inverse=True)
@@ -219,15 +225,15 @@ def _seat_pairs(rows: pd.DataFrame, bucket: int, buckets: int, hot: np.ndarray)
         at += len(mine)
         room = np.searchsorted(restaurants, ctx)
         extra = t[mine] - SAMPLES * (c[mine] > 0)
-        out.append((bucket, shard, SEATED, b"", _u32(whole[room]), b"", _u32(c[mine]), _u32(extra)))
+        out.append((bucket, shard, SEATED, b"", _ints(whole[room]), b"", _ints(c[mine]), _ints(extra), b"", b""))
     for u in np.nonzero(np.isin(parts, restaurants[split]).any(axis=1))[0]:
         tables = int(whole[np.isin(restaurants, parts[u])].sum())
-        out.append((int(bucket_of(hot[u : u + 1], buckets)[0]), -1, HOT, hot[u : u + 1].tobytes(), b"", b"", b"", np.int64(tables).tobytes()))
+        out.append((int(bucket_of(hot[u : u + 1], buckets)[0]), -1, HOT, hot[u : u + 1].tobytes(), b"", b"", b"", np.int64(tables).tobytes(), b"", b""))
     sums = np.bincount(what, weights=t, minlength=len(words)).astype(np.int64)
     has = sums > 0
     words, sums = words[has], sums[has]
     ends = cut_by_bucket(words, buckets)
-    out += [(b, -1, TABLES, b"", b"", _dishes(words[lo:hi]), _u32(sums[lo:hi]), b"") for b, (lo, hi) in enumerate(zip(ends, ends[1:])) if hi > lo]
+    out += [(b, -1, TABLES, pack_sorted(words[lo:hi] >> SIDE), b"", b"", _ints(sums[lo:hi]), b"", b"", b"") for b, (lo, hi) in enumerate(zip(ends, ends[1:])) if hi > lo]
     return out
 
 
@@ -235,13 +241,13 @@ def _seat_root(rows: pd.DataFrame, bucket: int, buckets: int, shards: int) -> li
     """Seat a bucket's part of the root; answers for every shard, with totals."""
     sent = rows[rows["kind"] == WORDS].sort_values("shard")
     tabs = rows[rows["kind"] == TABLES]
-    keys = [unpack_sorted(k) for k in sent["keys"]]
-    counts = [unpack_planes(c, "<u4").astype(np.int64) for c in sent["counts"]]
+    keys = [unpack_sorted(k) for k in sent["words"]]
+    counts = [_uints(c) for c in sent["word_counts"]]
     join = lambda xs, kind: np.concatenate(xs) if len(xs) else np.zeros(0, kind)
     words, word = np.unique(join(keys, np.uint64), return_inverse=True)
     c = np.bincount(word, weights=join(counts, np.int64), minlength=len(words)).astype(np.int64)
-    dishes = join([_undishes(d) for d in tabs["dishes"]], np.uint64)
-    tables = join([unpack_planes(x, "<u4").astype(np.int64) for x in tabs["counts"]], np.int64)
+    dishes = join([unpack_sorted(d) << SIDE for d in tabs["keys"]], np.uint64)
+    tables = join([_uints(x) for x in tabs["counts"]], np.int64)
     names, name = np.unique(dishes, return_inverse=True)
     customers = np.bincount(name, weights=tables, minlength=len(names))
     at = np.searchsorted(names, (words >> SIDE) << SIDE)
@@ -252,17 +258,16 @@ def _seat_root(rows: pd.DataFrame, bucket: int, buckets: int, shards: int) -> li
     known = int((c > 0).sum())
     base = np.full(len(words), 1 / (known * buckets + 1))
     t = sample_tables(seats, np.zeros(len(words), np.int64), base, Prior.d_root, Prior.theta_root, np.array([float(buckets)]), buckets + bucket)
-    value = seats - Prior.d_root * t / SAMPLES
     totals = np.array([c.sum(), known, seats.sum(), t.sum() / SAMPLES]).tobytes()
     warm = rows[rows["kind"] == HOT].groupby("keys")["tables"].agg(lambda x: sum(int(np.frombuffer(v, np.int64)[0]) for v in x))
     hot_keys, hot_tables = b"".join(warm.index), np.array(warm.tolist(), np.int64).tobytes()
-    answers = dict.fromkeys(range(shards), (b"", b""))
+    answers = dict.fromkeys(range(shards), (_ints(c[:0]),) * 3)
     start = 0
     for shard, k in zip(sent["shard"], keys):
         mine = word[start : start + len(k)]
         start += len(k)
-        answers[int(shard)] = (_u32(c[mine]), pack_planes(value[mine].astype("<f4")))
-    return [(bucket, s, ROOT, totals, hot_keys, hot_tables, a, b) for s, (a, b) in answers.items()]
+        answers[int(shard)] = (_ints(c[mine]), _ints(seats[mine]), _ints(t[mine]))
+    return [(bucket, s, ROOT, totals, hot_keys, hot_tables, *x, b"") for s, x in answers.items()]
 
 
 def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> DataFrame:
@@ -279,34 +284,33 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
     """
     rows = documents(docs, id_col, text_col).withColumn("held_out", crc_mod(F.col("doc_id"), folds) == 0)
     n = shards or 2 * partitions(rows.sparkSession)
+    buckets = shards or partitions(rows.sparkSession)
     hot = hot_contexts(rows)
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(n)).cast("int"))
 
     def send(batch: pd.DataFrame) -> pd.DataFrame:
         s, number = Shard(batch, hot), int(batch["shard"].iloc[0])
-        ends = cut_by_bucket(s.words, n)
-        out = [
-            (b, number, WORDS, pack_sorted(s.words[lo:hi]), b"", b"", _u32(s.word_counts[lo:hi]), b"")
-            for b, (lo, hi) in enumerate(zip(ends, ends[1:])) if hi > lo
-        ]
         home = (s.pairs >> np.uint64(32)).astype(np.int64)
         sizes = np.bincount(home, minlength=len(s.contexts))
         first = np.concatenate([[0], np.cumsum(sizes)])
         dish = s.words[(s.pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)]
-        ends = cut_by_bucket(s.contexts, n)
-        for b, (lo, hi) in enumerate(zip(ends, ends[1:])):
-            if hi > lo:
+        words, ctx = cut_by_bucket(s.words, buckets), cut_by_bucket(s.contexts, buckets)
+        out = []
+        for b in range(buckets):
+            w, v, lo, hi = words[b], words[b + 1], ctx[b], ctx[b + 1]
+            if v > w or hi > lo:
                 a, z = first[lo], first[hi]
-                out.append((b, number, PAIRS, pack_sorted(s.contexts[lo:hi]), _u32(sizes[lo:hi]), _dishes(dish[a:z]), _u32(s.pair_counts[a:z]), b""))
+                pairs = (pack_sorted(s.contexts[lo:hi]), _ints(sizes[lo:hi]), _dishes(dish[a:z]), _ints(s.pair_counts[a:z]), b"")
+                out.append((b, number, SENT, *pairs, pack_sorted(s.words[w:v]), _ints(s.word_counts[w:v])))
         return pd.DataFrame(out, columns=NAMES)
 
     def contexts(batch: pd.DataFrame) -> pd.DataFrame:
-        pairs = batch[batch["kind"] == PAIRS]
-        out = _seat_pairs(pairs, int(batch["bucket"].iloc[0]), n, hot) if len(pairs) else []
-        return pd.concat([batch[batch["kind"] == WORDS], pd.DataFrame(out, columns=NAMES)])
+        batch = batch.sort_values("shard")
+        out = pd.DataFrame(_seat_pairs(batch, int(batch["bucket"].iloc[0]), buckets, hot), columns=NAMES)
+        return pd.concat([batch.assign(kind=WORDS, keys=b"", sizes=b"", dishes=b"", counts=b""), out])
 
     def root(batch: pd.DataFrame) -> pd.DataFrame:
-        out = _seat_root(batch, int(batch["bucket"].iloc[0]), n, n)
+        out = _seat_root(batch, int(batch["bucket"].iloc[0]), buckets, n)
         return pd.concat([batch[batch["kind"] == SEATED], pd.DataFrame(out, columns=NAMES)])
 
     def finish(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -317,15 +321,15 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
         top = answers[answers["kind"] == ROOT].sort_values("bucket")
         totals = np.sum([np.frombuffer(k) for k in top["keys"]], axis=0)
         tokens, vocabulary, customers, tables = totals
-        c = np.concatenate([unpack_planes(x, "<u4") for x in top["counts"]]).astype(np.float64)
-        value = np.concatenate([unpack_planes(x, "<f4") for x in top["tables"]]).astype(np.float64)
-        p = Prior
+        gather = lambda rows, field: np.concatenate([_uints(x) for x in rows[field]]).astype(np.float64)
+        c, p = gather(top, "counts"), Prior
+        value = gather(top, "tables") - p.d_root * gather(top, "words") / SAMPLES
         back = (p.theta_root + p.d_root * tables) / (p.theta_root + customers) / (vocabulary + 1)
         single = value / (p.theta_root + customers) + back
         mid = answers[answers["kind"] == SEATED].sort_values("bucket")
-        pair_c = np.concatenate([unpack_planes(x, "<u4") for x in mid["counts"]]).astype(np.float64)
-        pair_t = np.concatenate([unpack_planes(x, "<u4") for x in mid["tables"]]) / SAMPLES + (pair_c > 0)
-        context_t = np.concatenate([unpack_planes(x, "<u4") for x in mid["sizes"]]) / SAMPLES
+        pair_c = gather(mid, "counts")
+        pair_t = gather(mid, "tables") / SAMPLES + (pair_c > 0)
+        context_t = gather(mid, "sizes") / SAMPLES
         hot_keys = np.frombuffer(b"".join(top["sizes"]), np.uint64)
         hot_tables = np.frombuffer(b"".join(top["dishes"]), np.int64) / SAMPLES
         order = np.argsort(hot_keys)
