@@ -19,6 +19,7 @@ from lakemill.plans.adapters import FEATURED_SQL, PLACES, REVIEWS, SILVER_SQL, U
 from lakemill.plans.adapters import silver as silver_table
 from lakemill.sources import bronze, sinks
 from lakemill.sources.names import join_path
+from lakemill.sources.scan import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -360,7 +361,7 @@ FROM (SELECT *, CAST(greatest(len(regexp_extract_all(t, '[^.!?]+([.!?]+|$)')), 1
 
 
 def documents_as_reviews(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("review_id"), F.col("text").alias("raw_review"))
+    return spread(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("review_id"), F.col("text").alias("raw_review")))
 
 
 @add("t1_t8_linguistic", LINGUISTIC_SQL)
