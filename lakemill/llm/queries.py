@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.llm import bpe, chat, decontaminate, edit_counts, pitman_yor, quality, simhash, substring, suffixes, toxicity
+from lakemill.sources.scan import spread
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -97,33 +102,33 @@ FROM base
 """
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.substring_dedup(_table(spark, sf_dir, "documents"))
+    return substring.substring_dedup(_documents(spark, sf_dir))
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pitman_yor.score_documents(_table(spark, sf_dir, "documents"))
+    return pitman_yor.score_documents(_documents(spark, sf_dir))
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.suffix_array_dedup(_table(spark, sf_dir, "documents"))
+    return suffixes.suffix_array_dedup(_documents(spark, sf_dir))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.bpe_codec(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return bpe.bpe_codec(_documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of all documents before and after three edits of each: a passage
     replaced at a place given by the id, a title put first, a note put last."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _documents(spark, sf_dir)
     size = F.length(F.coalesce("text", F.lit("")))
     edit = lambda start, delete, insert: F.struct(start.cast("long").alias("start"), F.lit(delete).cast("long").alias("delete"), F.lit(insert).alias("insert"))
     edits = F.array(
@@ -135,7 +140,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
