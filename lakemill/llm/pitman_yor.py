@@ -39,7 +39,8 @@ HOT_PARTS = 64
 HOT_SAMPLE = 2_000  # documents looked at to find hot contexts
 STIRLING = 64
 SWEEPS, BURN_IN = 5, 2
-SIDE = np.uint64(16)  # a dish is named by the upper 48 bits of its word's hash
+DISH_BYTES = 5  # a dish is named by the upper 40 bits of its word's hash
+SIDE = np.uint64(64 - 8 * DISH_BYTES)
 
 
 class Prior:
@@ -190,14 +191,14 @@ def _uints(data: bytes) -> np.ndarray:
 
 
 def _dishes(x: np.ndarray) -> bytes:
-    """Upper 48 bits as byte planes."""
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].T.tobytes()
+    """Upper bytes as byte planes."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - DISH_BYTES :].T.tobytes()
 
 
 def _undishes(data: bytes) -> np.ndarray:
-    n = len(data) // 6
+    n = len(data) // DISH_BYTES
     out = np.zeros((n, 8), np.uint8)
-    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(6, n).T
+    out[:, 8 - DISH_BYTES :] = np.frombuffer(data, np.uint8).reshape(DISH_BYTES, n).T
     return out.view("<u8").ravel().astype(np.uint64)
 
 
@@ -280,7 +281,8 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
     token, the end); a null id counts as the empty text for the fold;
     repeated rows count and score each; an empty table gives no rows; with
     no training rows every probability is the base. Other columns are
-    ignored. Words are told apart by 64-bit fingerprints.
+    ignored. Words are told apart by 64-bit fingerprints, dishes by the upper
+    40 bits of them (a few words in millions share a dish; counts do not).
     """
     rows = documents(docs, id_col, text_col).withColumn("held_out", crc_mod(F.col("doc_id"), folds) == 0)
     n = shards or 2 * partitions(rows.sparkSession)
