@@ -179,8 +179,10 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, s: FtrlSettings = FtrlSetting
         import pyarrow as pa
 
         of = scorer(shared.value, s)
-        for batch in batches:
-            yield batch.filter(pa.array(of(batch.column(batch.schema.get_field_index(text_col)).to_pylist()) < 0.5))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1_000):  # small batches keep the buffers on both sides small
+                batch = whole.slice(at, 1_000)
+                yield batch.filter(pa.array(of(batch.column(batch.schema.get_field_index(text_col)).to_pylist()) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
 
