@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.bpe import char_class
+from lakemill.llm.bpe import Memo, Vocabulary, char_class
 
 LEAF = 64
 EDITS = "array<struct<start:bigint,delete:bigint,insert:string>>"
@@ -33,24 +33,15 @@ def pretoken_pattern() -> str:
     )
 
 
-class Counter(dict):
-    """Tokens of a pre-token, by the tokenizer library; forgets beyond a size."""
+class Counter(Memo):
+    """Tokens of a pre-token, by exact merges; remembers what it used lately."""
 
-    LIMIT = 300_000
+    LIMIT = 200_000
 
-    def __init__(self, tokenizer: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_str(tokenizer)
-        self.library.encode_special_tokens = True
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__(lambda pretoken: len(vocabulary.merge(pretoken)), self.LIMIT)
 
     def of(self, pretokens: list[str]) -> list[int]:
-        if new := [*{p for p in pretokens if p not in self}]:
-            if len(self) + len(new) > self.LIMIT:
-                self.clear()
-                new = [*set(pretokens)]
-            for p, e in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-                self[p] = len(e.ids)
         return [*map(self.__getitem__, pretokens)]
 
 
@@ -170,8 +161,7 @@ def edit_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", t
     give repeated rows; null ids stay null; an empty table gives no rows;
     other columns are ignored. Special tokens in texts are ordinary text.
     """
-    with open(vocabulary_path, encoding="utf-8") as f:
-        shared = docs.sparkSession.sparkContext.broadcast((f.read(), pretoken_pattern()))
+    shared = docs.sparkSession.sparkContext.broadcast((Vocabulary.load(vocabulary_path), pretoken_pattern()))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(edits_col).cast(EDITS).alias("edits"))
     names = ["n_pretokens", "n_tokens", "n_edits", "n_reencoded", "n_pretokens_after", "n_tokens_after"]
 

@@ -5,6 +5,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from lakemill.llm import edit_counts as ec
+from lakemill.llm.bpe import Vocabulary
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ALPHABET = ["a", "B", "é", " ", " ", "\n", "\t", "1", "½", "'s", "'re", "'", "!", "😀", "　", "the", " The", "<|endoftext|>", "\x1c"]
@@ -13,7 +14,7 @@ ALPHABET = ["a", "B", "é", " ", " ", "\n", "\t", "1", "½", "'s", "'re", "'", "
 def test_trees_equal_recount():
     library = Tokenizer.from_file(PATH)
     library.encode_special_tokens = True
-    pattern, counter = re.compile(ec.pretoken_pattern()), ec.Counter(open(PATH, encoding="utf-8").read())
+    pattern, counter = re.compile(ec.pretoken_pattern()), ec.Counter(Vocabulary.load(PATH))
     r = random.Random(3)
     for n in [0, 1, 2, 5, 30, 200, 3000]:
         for _ in range(12):
@@ -27,7 +28,7 @@ def test_trees_equal_recount():
 
 
 def test_only_the_region_is_encoded_again():
-    pattern, counter = re.compile(ec.pretoken_pattern()), ec.Counter(open(PATH, encoding="utf-8").read())
+    pattern, counter = re.compile(ec.pretoken_pattern()), ec.Counter(Vocabulary.load(PATH))
     tree = ec.DocumentTree("some words and more " * 5000, pattern, counter)
     tree.edit(50_000, 3, "x y z")
     assert 0 < tree.encoded < 12
