@@ -228,23 +228,21 @@ class Memo(dict):
 
 
 class Codec:
-    """Encodes texts to ids and decodes ids; one per Python worker."""
+    """Encodes texts to ids and decodes ids; one per task."""
 
     def __init__(self, vocabulary: Vocabulary, block: bytes | None = None):
         self.vocabulary, self.lexicon = vocabulary, Lexicon(block) if block else None
         self.find = re.compile(vocabulary.pretoken).findall
-        #: pre-tokens and words to ids in decimal and decoded text
-        self.pretokens = Memo(self._pretoken, 180_000)
-        self.words = Memo(self._word, 180_000)
+        self.decimal = [str(i) for i in range(max(vocabulary.tokens) + 1)]
+        self.token = [vocabulary.tokens.get(i, "") for i in range(len(self.decimal))]
+        #: words, and the pre-tokens they consist of, to ids in decimal and decoded text
+        self.words = Memo(self._word, 220_000)
+        self.hollow = False  # whether some word had no token
 
     def pretoken_ids(self, pretoken: str) -> list[int]:
         ids = self.lexicon.get(pretoken) if self.lexicon else None
         return self.vocabulary.merge(pretoken) if ids is None else ids
 
-    def _pretoken(self, pretoken: str) -> tuple[str, str]:
-        ids = self.pretoken_ids(pretoken)
-        return " ".join(map(str, ids)), self.decode(ids)
-
     def pieces(self, word: str) -> list[str | int]:
         """Pre-tokens and special ids of a stretch without white space."""
         v = self.vocabulary
@@ -256,11 +254,18 @@ class Codec:
         return out
 
     def _word(self, word: str) -> tuple[str, str]:
-        found = self.pieces(word)
-        if len(found) == 1 and found[0].__class__ is str:
-            return self.pretokens[found[0]]
-        got = [(str(p), self.decode([p])) if isinstance(p, int) else self.pretokens[p] for p in found]
-        return " ".join([a for a, _ in got]), " ".join([b for _, b in got])
+        if word.isalpha() and (word.isascii() or max(word) < LATIN_END):
+            found = [word.lower()]  # letters only: one pre-token
+        else:
+            found = self.pieces(word)
+        if not found:
+            self.hollow = True
+            return "", ""
+        if len(found) > 1 or found[0] != word:
+            got = [(self.decimal[p], self.token[p]) if isinstance(p, int) else self.words[p] for p in found]
+            return got[0] if len(got) == 1 else (" ".join([a for a, _ in got]), " ".join([b for _, b in got]))
+        ids, decimal, token = self.pretoken_ids(word), self.decimal, self.token
+        return " ".join([decimal[i] for i in ids]), " ".join([token[i] for i in ids])
 
     def encode(self, text: str) -> list[int]:
         pieces = (p for w in split_words(text) for p in self.pieces(w))
@@ -274,23 +279,11 @@ class Codec:
     def both(self, text: str) -> tuple[str, str]:
         """The ids in decimal, joined by spaces, and the decoded text."""
         got = [*map(self.words.__getitem__, split_words(text))]
+        if self.hollow:
+            got = [g for g in got if g[0]]
         return " ".join([a for a, _ in got]), " ".join([b for _, b in got])
 
 
-_last: tuple = (None, None)
-
-
-def worker_codec(parts: tuple[Vocabulary, bytes]) -> Codec:
-    """The Python worker's codec, kept from task to task with its memory filled.
-
-    A broadcast value is one object per worker, so identity tells it apart.
-    """
-    global _last
-    if _last[0] is not parts:
-        _last = (parts, Codec(*parts))
-    return _last[1]
-
-
 def count_words(docs: DataFrame) -> DataFrame:
     """word, n: counts over all texts, summed per task before the shuffle."""
 
@@ -346,7 +339,7 @@ def bpe_codec(
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = worker_codec(shared.value)
+        codec = Codec(*shared.value)
         for batch in batches:
             out: dict[str, list] = {k.split()[0]: [] for k in schema.split(", ")}
             out["doc_id"] = batch["doc_id"].astype("Int64")
