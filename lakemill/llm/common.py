@@ -91,6 +91,17 @@ def mix(a: np.ndarray) -> np.ndarray:
     return a * M2
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values, by sorting: np.unique hashes, which is slower for
+    many distinct integers."""
+    x = np.sort(x)
+    if len(x) < 2:
+        return x
+    keep = np.ones(len(x), bool)
+    keep[1:] = x[1:] != x[:-1]
+    return x[keep]
+
+
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket from the upper 32 bits; ascending with the key."""
     return ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import (
-    LAST_ID, M1, WordHash, cut_by_bucket, documents, mix, pack_sorted, partitions, seen_earlier, unpack_sorted, with_range_shard, words_of,
+    LAST_ID, M1, WordHash, cut_by_bucket, distinct, documents, mix, pack_sorted, partitions, seen_earlier, unpack_sorted, with_range_shard, words_of,
 )
 
 PHRASE = 5
@@ -138,7 +138,7 @@ class Shard:
         for p, (doc, a, b, _) in enumerate(passages):
             phrase = runs_hash(self.hashes[doc][a:b], PHRASE)
             view = np.lib.stride_tricks.sliding_window_view(phrase, self.width - PHRASE + 1)
-            for at in np.unique(view.argmin(axis=1) + np.arange(len(view))):
+            for at in distinct(view.argmin(axis=1) + np.arange(len(view))):
                 at = begin[p] + int(at)
                 places.setdefault(run[at * wide : (at + PHRASE) * wide], []).append(at)
         machine = ahocorasick.Automaton()
@@ -190,7 +190,7 @@ def substring_dedup(
 
     def send(batch: pd.DataFrame) -> pd.DataFrame:
         memo = WordHash()
-        keys = np.unique(np.concatenate([runs_hash(memo.of(words_of(t)), width) for t in batch["text"]]))
+        keys = distinct(np.concatenate([runs_hash(memo.of(words_of(t)), width) for t in batch["text"]]))
         ends = cut_by_bucket(keys, buckets)
         out = [(b, int(batch["shard"].iloc[0]), pack_sorted(keys[lo:hi])) for b, (lo, hi) in enumerate(zip(ends, ends[1:])) if hi > lo]
         return pd.DataFrame(out, columns=["bucket", "shard", "keys"])

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import (
-    LAST_ID, M1, M2, cut_by_bucket, documents, mix, pack_planes, pack_sorted, partitions, seen_earlier, unpack_planes, unpack_sorted, with_range_shard,
+    LAST_ID, M1, M2, cut_by_bucket, distinct, documents, mix, pack_planes, pack_sorted, partitions, seen_earlier, unpack_planes, unpack_sorted, with_range_shard,
 )
 
 LENGTH = 100
@@ -238,7 +238,7 @@ def suffix_array_dedup(
         answers = answers.sort_values("bucket")
         earlier, mixed = read(answers, "earlier"), read(answers, "mixed")
         _, _, names = shard.open_prefixes(earlier, mixed)
-        names = np.unique(names)
+        names = distinct(names)
         ends = cut_by_bucket(names, buckets)
         # what the shard has learned goes along, to come back with the answers
         out = [(number % buckets, number, True, len(earlier), _bits(earlier), _bits(mixed))]

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import M1, M2, WordHash, crc_mod, documents, mix
+from lakemill.llm.common import M1, M2, WordHash, crc_mod, distinct, documents, mix
 
 STEM = 4
 # Punctuation separates words; letters beyond ASCII are kept as they are.
@@ -104,7 +104,7 @@ def train_model(docs: DataFrame, labels: DataFrame, s: FtrlSettings) -> tuple[np
             for text in batch["text"]:
                 both = hashes_of(text, hashes)
                 at, _ = features(both, np.zeros(both.shape[1], np.int32), s.bits)
-                out.append(np.unique(at).astype("<i4").tobytes())
+                out.append(distinct(at).astype("<i4").tobytes())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "x": out})
 
     def learn(batch: pd.DataFrame) -> pd.DataFrame:
@@ -135,7 +135,7 @@ def scorer(model: tuple[np.ndarray, np.ndarray, float], s: FtrlSettings):
         doc = np.repeat(np.arange(len(parts)), [p.shape[1] for p in parts])
         place, owner = features(np.concatenate(parts, axis=1), doc, s.bits)
         hit = np.nonzero(table[place])[0]
-        once = np.unique(owner[hit].astype(np.int64) << s.bits | place[hit])
+        once = distinct(owner[hit].astype(np.int64) << s.bits | place[hit])
         return np.bincount(once >> s.bits, weights=table[once & ((1 << s.bits) - 1)], minlength=len(parts))
 
     def run(texts) -> np.ndarray:
