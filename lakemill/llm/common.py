@@ -47,22 +47,39 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *mo
     )
 
 
+def _range_column(docs: DataFrame, cuts: list[float], name: str) -> DataFrame:
+    """Number of the range of doc_id (null: last) between sorted cuts."""
+    if not cuts:
+        return docs.withColumn(name, F.lit(0))
+    from pyspark.ml.feature import Bucketizer
+
+    step = Bucketizer(splits=[-np.inf, *cuts, np.inf], inputCol="__k", outputCol="__s")
+    keyed = docs.withColumn("__k", F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("double"))
+    return step.transform(keyed).withColumn(name, F.col("__s").cast("int")).drop("__k", "__s")
+
+
 def with_range_shard(docs: DataFrame, shards: int) -> DataFrame:
-    """Add ``shard``: consecutive ranges of doc_id, about equally many rows each.
+    """Add ``shard``: consecutive ranges of doc_id with about equally much text each.
 
     Shard order is document order, so "an earlier shard has it" means "a
     smaller doc_id has it". Equal ids share a shard; null ids come last.
-    Only the range bounds (at most ``shards`` numbers) reach the driver.
+    Eight times as many ranges of equally many rows are weighed by their
+    characters and joined into shards; only their bounds and weights (at most
+    ``8 * shards`` numbers) reach the driver.
     """
-    key = F.coalesce(F.col("doc_id"), F.lit(LAST_ID))
-    ids = docs.select(key.cast("double").alias("k"))
-    cuts = sorted(set(ids.approxQuantile("k", [i / shards for i in range(1, shards)], 1 / (4 * shards)))) if shards > 1 else []
-    if not cuts:
+    if shards < 2:
         return docs.withColumn("shard", F.lit(0))
-    from pyspark.ml.feature import Bucketizer
-
-    step = Bucketizer(splits=[-np.inf, *cuts, np.inf], inputCol="__k", outputCol="__s")
-    return step.transform(docs.withColumn("__k", key.cast("double"))).withColumn("shard", F.col("__s").cast("int")).drop("__k", "__s")
+    ids = docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("double").alias("k"))
+    fine = 8 * shards
+    cuts = sorted(set(ids.approxQuantile("k", [i / fine for i in range(1, fine)], 1 / (4 * fine))))
+    weights = {r.r: r.w for r in _range_column(docs, cuts, "r").groupBy("r").agg(F.sum(F.length("text") + 64).alias("w")).collect()}
+    share, seen, kept = sum(weights.values()) / shards, 0, []
+    for r, cut in enumerate(cuts):  # cut r ends range r
+        seen += weights.get(r, 0)
+        if seen >= share:
+            kept.append(cut)
+            seen = 0
+    return _range_column(docs, kept, "shard")
 
 
 class WordHash(dict):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import (
-    M2, WordHash, ascii_lower_words, bucket_of, crc_mod, cut_by_bucket, documents, mix, pack_planes, pack_sorted, partitions, unpack_planes, unpack_sorted,
+    M2, WordHash, ascii_lower_words, bucket_of, checkpointed, crc_mod, cut_by_bucket, documents, mix, pack_planes, pack_sorted, partitions, unpack_planes, unpack_sorted,
 )
 
 START = np.uint64(0x5354415254)  # context of a text's first word
@@ -165,8 +165,9 @@ def hot_contexts(docs: DataFrame, share: float = 1e-3) -> np.ndarray:
 
     sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").limit(HOT_SAMPLE)
     counts = docs.join(F.broadcast(sample.distinct()), "doc_id").select("text").mapInPandas(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    hot = counts.crossJoin(F.broadcast(total)).where(F.col("n") > share * F.col("total")).select("h").collect()
+    counts = checkpointed(counts)  # the words of the sample
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.where(F.col("n") > share * total).collect()
     return np.unique(np.append(np.array([r.h for r in hot], np.int64).view(np.uint64), START))
 
 
