@@ -186,6 +186,6 @@ def stratified_sample(df: DataFrame, size: int = 15_000, by: str = "stars", key:
     left = F.least(F.lit(size), F.col("total")) - F.sum(F.floor(exact)).over(Window.partitionBy())
     place = F.row_number().over(Window.orderBy(F.desc(exact - F.floor(exact)), by))
     quota = strata.select(F.col(by).alias("__s"), (F.floor(exact) + F.when(place <= left, 1).otherwise(0)).alias("__q"), F.col("n").alias("__n"))
-    tagged = df.withColumn("__h", h).join(F.broadcast(quota), F.col(by).eqNullSafe(F.col("__s")))
+    tagged = df.withColumn("__h", h).join(quota, F.col(by).eqNullSafe(F.col("__s")))
     rank = F.row_number().over(Window.partitionBy("__s").orderBy("__h", key))
     return tagged.withColumn("__r", rank).where(F.col("__r") <= size).where("__r <= __q").select(*df.columns)
