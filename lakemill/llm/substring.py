@@ -92,7 +92,7 @@ class Shard:
         self.hashes = [memo.of(w) for w in self.words]
         self.windows = [runs_hash(h, width) for h in self.hashes]
         every = np.concatenate(self.windows) if self.windows else np.zeros(0, np.uint64)
-        self.owner = np.repeat(np.arange(len(self.windows)), [len(w) for w in self.windows])
+        self.owner = np.repeat(np.arange(len(self.windows), dtype=np.int32), [len(w) for w in self.windows])
         self.keys, first, inverse = np.unique(every, return_index=True, return_inverse=True)
         self.first, self.inverse = first, inverse
 
@@ -184,9 +184,9 @@ def substring_dedup(
     within one.
     """
     rows = documents(docs, id_col, text_col)
-    n = shards or 2 * partitions(rows.sparkSession)
+    n = shards or 3 * partitions(rows.sparkSession)
     dealt = with_range_shard(rows, n)
-    buckets = n
+    buckets = shards or partitions(rows.sparkSession)
 
     def send(batch: pd.DataFrame) -> pd.DataFrame:
         memo = WordHash()
