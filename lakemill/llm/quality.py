@@ -1,6 +1,6 @@
 """Quality rules: cross-document line frequency over simple text rules, native.
 
-Lines are normalised (A-Z lowered, white space collapsed) and hashed; a line
+Lines are normalised (lower case, white space collapsed) and hashed; a line
 that occurs in more than ``max_documents`` distinct documents of one host is
 boilerplate and is removed; a document is rejected when too little is left.
 Line hashes are made distinct within each document first, so counting is a
@@ -70,8 +70,7 @@ def base_rules(docs: DataFrame, width: int = 5, columns: tuple[str, ...] = ()) -
 
 def _content_lines(text: Column) -> Column:
     """Hash and word characters of each normalised line that has a word."""
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    lines = F.transform(F.split(lower, "\n", -1), lambda x: F.trim(F.regexp_replace(x, SPACE, " ")))
+    lines = F.transform(F.split(F.lower(text), "\n", -1), lambda x: F.trim(F.regexp_replace(x, SPACE, " ")))
     return F.transform(
         F.filter(lines, lambda x: x != ""),
         lambda x: F.struct(F.xxhash64(x).alias("h"), F.length(F.replace(x, F.lit(" "))).alias("chars")),

@@ -75,8 +75,7 @@ WITH d AS (
 ), ln AS (
   SELECT doc_id, host, unnest(string_split(text, chr(10))) AS raw FROM d
 ), lw AS (
-  SELECT doc_id, host, raw, trim(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+', ' ', 'g')) AS line
+  SELECT doc_id, host, raw, trim(regexp_replace(lower(raw), '[\x20\x09-\x0D]+', ' ', 'g')) AS line
   FROM ln WHERE regexp_matches(raw, '[^\x20\x09-\x0D]')
 ), dup AS (
   SELECT doc_id, count(*) - count(DISTINCT raw) AS n FROM lw GROUP BY doc_id

@@ -60,7 +60,7 @@ def test_quality_equals_brute_force(spark, limit):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, host string, key int")
     got = sorted(quality.quality_rules(df, max_documents=limit).collect(), key=lambda r: str(r))
     assert len(got) == len(rows)
-    norm = lambda x: " ".join(w.decode() for w in x.encode().lower().split())
+    norm = lambda x: " ".join(w.decode() for w in x.lower().encode().split())
     seen = {}
     for n, (_, t, h, _, _) in enumerate(rows):
         for x in {norm(x) for x in (t or "").split("\n")} - {""}:
