@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 from lakemill.llm import decontaminate as dc
 
@@ -60,3 +61,11 @@ def test_operator_equals_brute_force(spark):
     left = dc.decontaminate(df, bench)
     assert left.columns == df.columns and sorted(x.doc_id for x in left.collect()) == sorted(d for d, _, _ in docs if d not in bad)
     assert dc.contaminated(df, bench.limit(0)).count() == dc.contaminated(df.limit(0), bench).count() == 0
+
+
+def test_capitals_and_composition_cost_no_budget(spark):
+    items = [(1, "éèàùçœ êâîôûëï äöüãõñ áíóú ýčšžřů ěďťňľ ôàéêè"), (2, "съешь ещё этих мягких французских булок"), (3, "große straße füße heißen weiß"), (4, "ξεσκεπάζω την ψυχοφθόρα βδελυγμία")]
+    docs = [(i, "before " + t.upper() + "\n after") for i, t in items] + [(5, "before " + unicodedata.normalize("NFD", items[0][1]) + " after"), (6, "nothing here")]
+    got = dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    # Greek capitals carry their accents here, as str.upper() leaves them
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in got.collect()) == [(1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 0), (5, 1, 0)]
