@@ -15,7 +15,7 @@ import tempfile
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LAST_ID = 2**63 - 1
@@ -47,6 +47,11 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *mo
     )
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """64 bits that name a row by its id and text; never null."""
+    return F.xxhash64(F.col(id_col), F.col(id_col).isNull(), F.col(text_col), F.col(text_col).isNull())
+
+
 def _range_column(docs: DataFrame, cuts: list[float], name: str) -> DataFrame:
     """Number of the range of doc_id (null: last) between sorted cuts."""
     if not cuts:

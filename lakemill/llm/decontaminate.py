@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import documents
+from lakemill.llm.common import documents, row_key
 
 SCHEMA = "doc_id long, item_id long, distance int, budget int, start long, stop long"
 
@@ -152,9 +152,9 @@ def contaminated(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, max_error: float = 0.08) -> DataFrame:
     """Documents (all their columns) that hold no benchmark item.
 
-    The join is on doc_id; the flagged ids are few beside the documents.
-    Documents with a null id are kept only if they hold no item, which the
-    null-safe join decides for all of them together.
+    Verdicts fall on rows, named by id and text, so null and repeated ids
+    need no care; the flagged rows are few beside the documents.
     """
-    bad = contaminated(docs, benchmark, max_error).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__bad")), "left_anti")
+    named = docs.withColumn("__row", row_key("doc_id", "text"))
+    bad = contaminated(named, benchmark, max_error, id_col="__row").select(F.col("doc_id").alias("__bad")).distinct()
+    return named.join(bad, F.col("__row") == F.col("__bad"), "left_anti").drop("__row")

@@ -221,15 +221,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     member = classes.join(named, "root").select("fp", "component_id")
     return rows.join(member, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, whole, of one document of each group.
-
-    The smallest doc_id of a group stays. Repeated rows of one id and text
-    are one document; rows without an id stay (but one of each text).
-    """
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
-    return left.withColumn("__text", F.xxhash64(text_col)).dropDuplicates([id_col, "__text"]).drop("__text")

@@ -69,3 +69,10 @@ def test_capitals_and_composition_cost_no_budget(spark):
     got = dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     # Greek capitals carry their accents here, as str.upper() leaves them
     assert sorted((r.doc_id, r.item_id, r.distance) for r in got.collect()) == [(1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 0), (5, 1, 0)]
+
+
+def test_each_row_has_its_own_verdict(spark):
+    item = "the quick brown fox jumps over the lazy dog"
+    docs = spark.createDataFrame([(None, "a clean text"), (None, "x " + item), (None, "another clean text"), (7, item + " y"), (7, "clean, of the same id"), (8, None)], "doc_id long, text string")
+    left = dc.decontaminate(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([(None, "a clean text"), (None, "another clean text"), (7, "clean, of the same id"), (8, None)], key=str)
