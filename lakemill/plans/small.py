@@ -37,6 +37,20 @@ def _(spark, d):
     return features.apply_features(docs, c.synthetic_lexicon(spark, d), ["vader"]).select("review_id", "raw_review", "vader_pos").where("review_id < 0")
 
 
+_SHARE = c._round4("(positive_count::DOUBLE / greatest(len(ws), 1))")
+
+
+@add(
+    "p4_p6_owned_columns_whole",
+    f"{c.LEXICON_SQL} SELECT s.review_id, d.text AS raw_review, {_SHARE} AS vader_pos "
+    "FROM shaped s JOIN w USING (review_id) JOIN documents d ON CAST(d.doc_id AS VARCHAR) = s.review_id",
+)
+def _(spark, d):
+    """The same for every document, so that the replaced values are compared."""
+    docs = c.documents_as_reviews(spark, d).withColumn("vader_pos", F.lit("old"))
+    return features.apply_features(docs, c.synthetic_lexicon(spark, d), ["vader"]).select("review_id", "raw_review", "vader_pos")
+
+
 @add("p7_sentiment_labels", f"{FT} SELECT {c.VADER} AS vader_label, {c.VALENCE} AS valence_label, count(*) AS n FROM featured GROUP BY 1, 2")
 def _(spark, d):
     f = featured(spark, d).select(labels.sentiment_label("vader_sentiment_score").alias("vader_label"), labels.sentiment_label("Valence_avg").alias("valence_label"))

@@ -159,3 +159,21 @@ def test_stream_of_months(spark, tmp_path):
     q = monthly_counts(stream).writeStream.format("memory").queryName("months").outputMode("update").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert [(r.review_count, r.avg_stars, r.low_star_rate) for r in spark.sql("SELECT * FROM months").collect()] == [(2, 2.5, 0.5)]
+
+
+def test_owned_columns_are_replaced_for_every_document(spark, tmp_path):
+    import hashlib
+    import re
+
+    from lakemill.plans import catalog, small  # noqa: F401  small adds to the catalog
+
+    texts = ["good bad ugly", "one two three four five six seven", "longwords everywhere", "", None, "to be or not to be"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {int(r.review_id): r for r in catalog.QUERIES["p4_p6_owned_columns_whole"](spark, str(tmp_path)).collect()}
+    part = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:3], 16)
+    positive = lambda w: len(w) <= 5 and part(w) % 10 % 2 == 0
+    want = []
+    for t in texts:
+        words = re.findall("[a-z']+", t or "")
+        want.append(math.floor(sum(map(positive, words)) / max(1, len(words)) * 1e4 + 0.5) / 1e4)
+    assert [got[i].raw_review for i in range(6)] == texts and [got[i].vader_pos for i in range(6)] == want and any(want)
