@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import checkpointed, documents
+from lakemill.llm.common import IDS, checkpointed, documents, own_ids
 
 def char_class(prop: str) -> str:
     """The inside of a regex class for ``prop`` as the tokenizer library's engine
@@ -336,13 +336,13 @@ def bpe_codec(
     rows = documents(docs, id_col, text_col)
     vocabulary = Vocabulary.load(vocabulary_path)
     shared = rows.sparkSession.sparkContext.broadcast((vocabulary, build_lexicon(rows, vocabulary, lexicon_words)))
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
+    schema = f"{IDS}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec(*shared.value)
         for batch in batches:
             out: dict[str, list] = {k.split()[0]: [] for k in schema.split(", ")}
-            out["doc_id"] = batch["doc_id"].astype("Int64")
+            out |= {"doc_id": batch["doc_id"], "no_id": batch["no_id"]}
             for text in batch["text"]:
                 ids, decoded = codec.both(text)
                 out["n_tokens"].append(ids.count(" ") + 1 if ids else 0)
@@ -353,4 +353,4 @@ def bpe_codec(
                     out["decoded"].append(decoded)
             yield pd.DataFrame(out)
 
-    return rows.mapInPandas(run, schema)
+    return own_ids(rows.mapInPandas(run, schema))

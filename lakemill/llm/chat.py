@@ -115,8 +115,9 @@ def read_back(formatted: Column, template: ChatTemplate = ChatTemplate()) -> Col
 
 
 def chat_digest(chats: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:
-    """Digests of formatted conversations, taken from the output itself."""
-    back = chats.withColumn("back", read_back(F.col("formatted"), template)).withColumn(
+    """Digests of formatted conversations, all read back from the segments."""
+    whole = F.array_join(F.transform("segments", lambda s: s["text"]), "")
+    back = chats.withColumn("whole", whole).withColumn("back", read_back(F.col("whole"), template)).withColumn(
         "learned", F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"]))
     )
     turns = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
@@ -127,6 +128,6 @@ def chat_digest(chats: DataFrame, template: ChatTemplate = ChatTemplate()) -> Da
         F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"),
         F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
+        F.length("whole").cast("long").alias("formatted_chars"),
         "valid",
     )

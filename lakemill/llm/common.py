@@ -10,7 +10,6 @@ third of all documents share costs each shard one entry.
 
 from __future__ import annotations
 
-import re
 import tempfile
 
 import numpy as np
@@ -18,8 +17,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LAST_ID = 2**63 - 1
-WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
+#: what operators return of an id through Arrow: null ids travel as 0 and a flag, since
+#: pandas would turn a column of longs with a null into doubles
+IDS = "doc_id long, no_id boolean"
 
 
 def partitions(spark: SparkSession) -> int:
@@ -30,61 +30,97 @@ def partitions(spark: SparkSession) -> int:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
 
-    Only where the session names no folder (tests) one is made up here.
+    Where the session names none, a temporary one is made, on a local master
+    only: executors do not share such a folder.
     """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints"))
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.isLocal():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints"))
     return df.checkpoint(eager=True)
 
 
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more) -> DataFrame:
-    """The two columns operators work on (and more); a null text counts as empty."""
+    """The columns operators work on (and more): doc_id (0 where null), no_id
+    and text; a null text counts as empty. :func:`own_ids` puts nulls back."""
+    key = F.col(id_col).cast("long")
     return df.select(
-        F.col(id_col).cast("long").alias("doc_id"),
+        F.coalesce(key, F.lit(0)).alias("doc_id"),
+        key.isNull().alias("no_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
         *more,
     )
 
 
+def own_id() -> Column:
+    """The id as it was given."""
+    return F.when(~F.col("no_id"), F.col("doc_id"))
+
+
+def own_ids(out: DataFrame) -> DataFrame:
+    """Put null ids back into an operator's result."""
+    return out.withColumn("doc_id", own_id()).drop("no_id")
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """64 bits that name a row by its id and text; never null."""
     return F.xxhash64(F.col(id_col), F.col(id_col).isNull(), F.col(text_col), F.col(text_col).isNull())
 
 
 def _range_column(docs: DataFrame, cuts: list[float], name: str) -> DataFrame:
-    """Number of the range of doc_id (null: last) between sorted cuts."""
+    """Number of the range of doc_id between sorted cuts."""
     if not cuts:
         return docs.withColumn(name, F.lit(0))
     from pyspark.ml.feature import Bucketizer
 
     step = Bucketizer(splits=[-np.inf, *cuts, np.inf], inputCol="__k", outputCol="__s")
-    keyed = docs.withColumn("__k", F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("double"))
-    return step.transform(keyed).withColumn(name, F.col("__s").cast("int")).drop("__k", "__s")
+    return step.transform(docs.withColumn("__k", F.col("doc_id").cast("double"))).withColumn(name, F.col("__s").cast("int")).drop("__k", "__s")
 
 
-def with_range_shard(docs: DataFrame, shards: int) -> DataFrame:
+def with_range_shard(docs: DataFrame, shards: int) -> tuple[DataFrame, list[int]]:
     """Add ``shard``: consecutive ranges of doc_id with about equally much text each.
 
-    Shard order is document order, so "an earlier shard has it" means "a
-    smaller doc_id has it". Equal ids share a shard; null ids come last.
+    Shard order is document order: ids never fall from one shard to the next,
+    rows without an id come last, and of equal ids the hash of the text
+    (column ``place``, signed) never falls. Returns the rows and the class of
+    each shard: shards of one class hold one id only (or none), so none of
+    them is earlier than another; other shards are a class of their own. That
+    is how an id that many rows share, and many rows without one, are spread.
+
     Eight times as many ranges of equally many rows are weighed by their
     characters and joined into shards; only their bounds and weights (at most
-    ``8 * shards`` numbers) reach the driver.
+    ``16 * shards`` numbers) reach the driver.
     """
+    docs = docs.withColumn("place", F.xxhash64("text"))
     if shards < 2:
-        return docs.withColumn("shard", F.lit(0))
-    ids = docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("double").alias("k"))
+        return docs.withColumn("shard", F.col("no_id").cast("int")), [0, 1]
     fine = 8 * shards
-    cuts = sorted(set(ids.approxQuantile("k", [i / fine for i in range(1, fine)], 1 / (4 * fine))))
-    weights = {r.r: r.w for r in _range_column(docs, cuts, "r").groupBy("r").agg(F.sum(F.length("text") + 64).alias("w")).collect()}
-    share, seen, kept = sum(weights.values()) / shards, 0, []
-    for r, cut in enumerate(cuts):  # cut r ends range r
-        seen += weights.get(r, 0)
-        if seen >= share:
-            kept.append(cut)
-            seen = 0
-    return _range_column(docs, kept, "shard")
+    found = docs.where("not no_id").select(F.col("doc_id").cast("double").alias("k")).approxQuantile("k", [i / fine for i in range(1, fine)], 1 / (4 * fine))
+    often = {a for a, b in zip(found, found[1:]) if a == b}  # an id that fills a range is a range of its own
+    cuts = sorted({*found, *(float(np.nextafter(k, np.inf)) for k in often)})
+    ranged = _range_column(docs, cuts, "r").withColumn("r", F.when(F.col("no_id"), len(cuts) + 1).otherwise(F.col("r")))
+    weigh = ranged.groupBy("r").agg(F.sum(F.length("text") + 64).alias("w"), (F.min("doc_id") == F.max("doc_id")).alias("one"))
+    weights = {r.r: r for r in weigh.collect()}
+    share = max(1, sum(r.w for r in weights.values()) / shards)
+    kept, parts, seen = [], [1], 0.0  # cuts between the joined ranges, and shards of each of them
+    for r in range(len(cuts) + 2):
+        w, several = 0, 1
+        if r in weights:
+            w, several = weights[r].w, max(1, round(weights[r].w / share)) if weights[r].one else 1
+        if r and (several > 1 or parts[-1] > 1 or seen >= share or r > len(cuts)):
+            kept += cuts[r - 1 : r]  # rows without an id need no cut
+            parts.append(1)
+            seen = 0.0
+        parts[-1] = several
+        seen += w
+    starts = np.concatenate([[0], np.cumsum(parts)]).tolist()
+    classes = [a for a, n in zip(starts, parts) for _ in range(n)]
+    joined = _range_column(docs, kept, "r").withColumn("r", F.when(F.col("no_id"), len(parts)).otherwise(F.col("r") + 1))
+    many = F.element_at(F.lit(parts), F.col("r"))
+    part = F.least(many - 1, F.floor((F.col("place") / F.lit(2.0**64) + 0.5) * many).cast("int"))
+    return joined.withColumn("shard", (F.element_at(F.lit(starts), F.col("r")) + part).cast("int")).drop("r"), classes
 
 
 class WordHash(dict):
@@ -185,7 +221,3 @@ def words_of(text: str) -> list[bytes]:
 def crc_mod(col, modulus: int):
     """crc32 of the decimal id, modulo; a null id counts as the empty text."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % modulus
-
-
-def quote_regex_class(chars: str) -> str:
-    return "[" + re.escape(chars) + "]"

@@ -8,7 +8,8 @@ place where the item may stand, and Myers' algorithm (one machine-wide integer
 per item) finds the least edit distance there.
 
 The benchmark is the stated query set. It is handled in blocks of bounded
-size, so what is broadcast at once is bounded whatever the table's size.
+size, one after another, so what is broadcast at once is bounded whatever the
+table's size; each block costs a scan of the documents.
 """
 
 from __future__ import annotations
@@ -16,15 +17,17 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import ahocorasick
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import documents, row_key
+from lakemill.llm.common import IDS, checkpointed, documents, own_ids, row_key
 
-SCHEMA = "doc_id long, item_id long, distance int, budget int, start long, stop long"
+SCHEMA = "item_id long, distance int, budget int, start long, stop long"
 
 
 def normal(text: str) -> str:
@@ -89,9 +92,7 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, most_chars: int) -
         yield block
 
 
-def _search(rows: DataFrame, items: list[tuple[int, str]], max_error: float) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(items)
-
+def _search(rows: DataFrame, shared: Broadcast, max_error: float) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         plan = [(i, t, int(max_error * len(t)), letter_masks(t)) for i, t in shared.value]
         found: dict[str, list[tuple[int, int]]] = {}
@@ -104,7 +105,7 @@ def _search(rows: DataFrame, items: list[tuple[int, str]], max_error: float) ->
         machine.make_automaton()
         for batch in batches:
             out = []
-            for doc, text in zip(batch["doc_id"], batch["text"]):
+            for doc, none, text in zip(batch["doc_id"], batch["no_id"], batch["text"]):
                 text = normal(text)
                 spans: dict[int, list[list[int]]] = {}
                 for end, (size, where) in machine.iter(text):
@@ -125,10 +126,11 @@ def _search(rows: DataFrame, items: list[tuple[int, str]], max_error: float) ->
                         if d <= k and (best is None or d < best[0]):
                             best = (d, lo, lo + end)
                     if best:
-                        out.append((None if pd.isna(doc) else int(doc), item, best[0], k, max(best[1], best[2] - len(t) - k), best[2]))
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "distance", "budget", "start", "stop"]).astype({"doc_id": "Int64", "item_id": "Int64"})
+                        out.append((doc, none, item, best[0], k, max(best[1], best[2] - len(t) - k), best[2]))
+            frame = pd.DataFrame(out, columns=["doc_id", "no_id", "item_id", "distance", "budget", "start", "stop"])
+            yield frame.assign(item_id=pd.array([r[2] for r in out], dtype="Int64"))
 
-    return rows.mapInPandas(run, SCHEMA)
+    return own_ids(rows.mapInPandas(run, f"{IDS}, {SCHEMA}"))
 
 
 def contaminated(
@@ -141,12 +143,28 @@ def contaminated(
     stretch of the normalised text holding the best place (start, stop).
     Documents without any item are absent. Null texts are empty and hold
     nothing; null, empty and white-space items are left out; items shorter
-    than 1 / max_error characters match exactly only; repeated rows give
+    than 1 / max_error characters match exactly only. There is no least
+    length, and an item may stand inside longer words (``cat`` is found in
+    ``concatenate``): choose items that are worth finding. Repeated rows give
     repeated rows; null ids stay null. Empty tables give no rows.
+
+    A benchmark of one block is searched in one lazy scan. Of a larger one,
+    each block is broadcast, searched, written and released before the next.
     """
     rows = documents(docs, id_col, text_col)
-    parts = [_search(rows, b, max_error) for b in _blocks(benchmark, item_col, item_text_col, block_chars)]
-    return reduce(DataFrame.unionAll, parts) if parts else rows.sparkSession.createDataFrame([], SCHEMA)
+    spark = rows.sparkSession
+    blocks = _blocks(benchmark, item_col, item_text_col, block_chars)
+    block, after = next(blocks, None), next(blocks, None)
+    if block is None:
+        return spark.createDataFrame([], f"doc_id long, {SCHEMA}")
+    if after is None:
+        return _search(rows, spark.sparkContext.broadcast(block), max_error)
+    parts = []
+    for one in chain([block, after], blocks):
+        shared = spark.sparkContext.broadcast(one)
+        parts.append(checkpointed(_search(rows, shared, max_error)))
+        shared.destroy()
+    return reduce(DataFrame.unionAll, parts)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, max_error: float = 0.08) -> DataFrame:
@@ -155,6 +173,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, max_error: float = 0.08
     Verdicts fall on rows, named by id and text, so null and repeated ids
     need no care; the flagged rows are few beside the documents.
     """
-    named = docs.withColumn("__row", row_key("doc_id", "text"))
-    bad = contaminated(named, benchmark, max_error, id_col="__row").select(F.col("doc_id").alias("__bad")).distinct()
-    return named.join(bad, F.col("__row") == F.col("__bad"), "left_anti").drop("__row")
+    named = docs.select(F.struct("*").alias("row"), row_key("doc_id", "text").alias("key"))
+    found = contaminated(docs.select(row_key("doc_id", "text").alias("key"), "text"), benchmark, max_error, id_col="key")
+    bad = found.select(F.col("doc_id").alias("key")).distinct()
+    return named.join(bad, "key", "left_anti").select("row.*")

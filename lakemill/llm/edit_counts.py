@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.bpe import Memo, Vocabulary, char_class
+from lakemill.llm.common import IDS, documents, own_ids
 
 LEAF = 64
 EDITS = "array<struct<start:bigint,delete:bigint,insert:string>>"
@@ -162,7 +163,7 @@ def edit_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", t
     other columns are ignored. Special tokens in texts are ordinary text.
     """
     shared = docs.sparkSession.sparkContext.broadcast((Vocabulary.load(vocabulary_path), pretoken_pattern()))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(edits_col).cast(EDITS).alias("edits"))
+    rows = documents(docs, id_col, text_col, F.col(edits_col).cast(EDITS).alias("edits"))
     names = ["n_pretokens", "n_tokens", "n_edits", "n_reencoded", "n_pretokens_after", "n_tokens_after"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -178,7 +179,6 @@ def edit_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", t
                         tree.edit(int(e["start"] or 0), int(e["delete"] or 0), e["insert"] or "")
                 out.append([*before, len(edits), tree.encoded, tree.pretokens, tree.tokens])
             frame = pd.DataFrame(out, columns=names, dtype="int64")
-            frame.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-            yield frame
+            yield frame.assign(doc_id=batch["doc_id"], no_id=batch["no_id"])
 
-    return rows.mapInPandas(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    return own_ids(rows.mapInPandas(run, f"{IDS}, " + ", ".join(f"{n} long" for n in names)))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import (
-    M2, WordHash, ascii_lower_words, bucket_of, checkpointed, crc_mod, cut_by_bucket, documents, mix, pack_planes, pack_sorted, partitions, unpack_planes, unpack_sorted,
+    IDS, M2, WordHash, ascii_lower_words, bucket_of, checkpointed, crc_mod, cut_by_bucket, documents, mix, own_id, own_ids, pack_planes, pack_sorted, partitions, unpack_planes, unpack_sorted,
 )
 
 START = np.uint64(0x5354415254)  # context of a text's first word
@@ -285,7 +285,7 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
     ignored. Words are told apart by 64-bit fingerprints, dishes by the upper
     40 bits of them (a few words in millions share a dish; counts do not).
     """
-    rows = documents(docs, id_col, text_col).withColumn("held_out", crc_mod(F.col("doc_id"), folds) == 0)
+    rows = documents(docs, id_col, text_col).withColumn("held_out", crc_mod(own_id(), folds) == 0)
     n = shards or 2 * partitions(rows.sparkSession)
     buckets = shards or partitions(rows.sparkSession)
     hot = hot_contexts(rows)
@@ -317,7 +317,7 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
         return pd.concat([batch[batch["kind"] == SEATED], pd.DataFrame(out, columns=NAMES)])
 
     def finish(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
+        names = ["doc_id", "no_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
         if not len(batch):
             return pd.DataFrame(columns=names)
         s = Shard(batch, hot)
@@ -349,7 +349,7 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
         score = np.add.reduceat(logs, start)
         return pd.DataFrame(
             {
-                "doc_id": batch["doc_id"].astype("Int64"), "held_out": batch["held_out"], "n_tokens": s.sizes,
+                "doc_id": batch["doc_id"], "no_id": batch["no_id"], "held_out": batch["held_out"], "n_tokens": s.sizes,
                 "n_known": np.add.reduceat((c > 0)[s.word].astype(np.int64), start), "train_tokens": int(tokens),
                 "base_score": np.add.reduceat(base[s.word], start), "score": score, "perplexity": 10 ** (-score / s.sizes),
             }
@@ -358,5 +358,5 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
     sent = dealt.groupBy("shard").applyInPandas(send, FIELDS)
     seated = sent.groupBy("bucket").applyInPandas(contexts, FIELDS)
     answers = seated.groupBy("bucket").applyInPandas(root, FIELDS)
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
-    return dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(finish, schema)
+    schema = f"{IDS}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
+    return own_ids(dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(finish, schema))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import ascii_lower_words, bucket_of, checkpointed, documents, mix
+from lakemill.llm.common import IDS, ascii_lower_words, bucket_of, checkpointed, documents, mix, own_id
 
 SEED = 42
 BUCKET_BYTES = 4_000_000
@@ -48,7 +48,7 @@ def shingle_hashes(words: list[bytes], width: int = 3) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) for each row."""
+    """doc_id, no_id, fp (the 64 bits as a signed long) for each row of :func:`documents`."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -59,9 +59,9 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
                 for at in range(0, len(h), 8192):
                     ones += np.unpackbits(h[at : at + 8192].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint16)
                 out[i] = np.packbits(2 * ones > len(h)).view(">u8")[0]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": out.view(np.int64)})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "no_id": batch["no_id"], "fp": out.view(np.int64)})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fp long")
+    return docs.select("doc_id", "no_id", "text").mapInPandas(run, f"{IDS}, fp long")
 
 
 def rotate(x: np.ndarray, block: int) -> np.ndarray:
@@ -214,10 +214,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     An empty table gives no rows; other columns are ignored.
     """
     rows = checkpointed(fingerprints(documents(docs, id_col, text_col)))
-    distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    distinct = checkpointed(rows.groupBy("fp").agg(F.min(own_id()).alias("least")))
     found = components(near_links(distinct))
     classes = distinct.join(found, distinct.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     classes = checkpointed(classes)
     named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     member = classes.join(named, "root").select("fp", "component_id")
-    return rows.join(member, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return rows.join(member, "fp").select(own_id().alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -1,13 +1,17 @@
 """Substring dedup with repeated-phrase automata.
 
 Documents are dealt to shards by ranges of doc_id. A pass over the shards
-sends the distinct fingerprints of all 13-word windows to buckets; buckets
-confirm which recur and answer each shard with one bit per fingerprint: an
-earlier shard has it. A shard then knows its recurring passages (windows that
-an earlier shard has, and windows of several of its own documents). It takes
-one copy of each, compiles their anchor phrases into an Aho-Corasick automaton
-over word codes, streams every one of its documents through it, and extends
-each hit to the whole occurrence of the passage.
+sends the distinct fingerprints of all 13-word windows to buckets. Buckets
+confirm which recur, and name for each shard that holds a window the nearest
+earlier shard that does: the one to supply it. Suppliers cut the passages they
+are asked for (runs of such windows) out of their documents and send their
+words on; each shard adds the passages that repeat among its own documents.
+
+A shard compiles its passages into one Aho-Corasick automaton over word codes
+and streams every one of its documents through it; so all documents are read,
+each by the automaton of all passages that it may share with an earlier one.
+Each hit is extended to the whole occurrence by comparing words, and only what
+so agrees is removed: fingerprints choose passages, they remove nothing.
 
 An anchor phrase is the five-word phrase of a window with the least
 fingerprint: it depends on the window's words alone, so an occurrence of any
@@ -21,11 +25,12 @@ import hashlib
 import ahocorasick
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lakemill.llm.common import (
-    LAST_ID, M1, WordHash, cut_by_bucket, distinct, documents, mix, pack_sorted, partitions, seen_earlier, unpack_sorted, with_range_shard, words_of,
+    IDS, M1, WordHash, cut_by_bucket, distinct, documents, mix, own_ids, pack_planes, pack_sorted, partitions, unpack_planes, unpack_sorted, with_range_shard,
+    words_of,
 )
 
 PHRASE = 5
@@ -80,94 +85,134 @@ def same_words(run: str, at: int, line: str, here: int, most: int, wide: int, ah
     return low
 
 
+def ranks_of(batch: pd.DataFrame) -> np.ndarray:
+    """Dense rank of each row's id; a shard has ids or has none."""
+    return np.unique(batch["doc_id"].to_numpy(np.int64), return_inverse=True)[1]
+
+
+def packed(x: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(pack_planes(x.astype("<u4")))
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return unpack_planes(zstandard.ZstdDecompressor().decompress(data), "<u4").astype(np.int64)
+
+
 class Shard:
-    """The documents of one shard as one run of word hashes."""
-
-    def __init__(self, batch: pd.DataFrame, width: int, memo: WordHash):
-        batch = batch.assign(_rank=batch["doc_id"].fillna(LAST_ID).astype("int64"))
-        self.rows = batch.sort_values("_rank", kind="stable").reset_index(drop=True)
-        self.rank = self.rows["_rank"].to_numpy()
-        self.width = width
-        self.words = [words_of(t) for t in self.rows["text"]]
-        self.hashes = [memo.of(w) for w in self.words]
-        self.windows = [runs_hash(h, width) for h in self.hashes]
-        every = np.concatenate(self.windows) if self.windows else np.zeros(0, np.uint64)
-        self.owner = np.repeat(np.arange(len(self.windows), dtype=np.int32), [len(w) for w in self.windows])
-        self.keys, first, inverse = np.unique(every, return_index=True, return_inverse=True)
-        self.first, self.inverse = first, inverse
-
-    def passages(self, external: np.ndarray) -> list[tuple[int, int, int, bool]]:
-        """One copy of each recurring passage: (document, first word, stop, external).
-
-        Rows are in id order, so a window's first place is its first
-        document's. A window is internal if a later document (with a larger
-        id) of the shard holds it and no earlier shard does.
-        """
-        rank = self.rank[self.owner]
+    """The windows of one shard's documents, in order of their ids."""
+
+    def __init__(self, batch: pd.DataFrame, width: int):
+        rank = ranks_of(batch)
+        order = np.argsort(rank, kind="stable")
+        memo = WordHash()
+        self.rank, self.width = rank[order], width
+        self.words = [words_of(batch["text"].iat[i]) for i in order]
+        windows = [runs_hash(memo.of(w), width) for w in self.words]
+        sizes = [len(w) for w in windows]
+        self.start = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.owner = np.repeat(np.arange(len(windows), dtype=np.int32), sizes)
+        self.keys, self.first, self.inverse = np.unique(np.concatenate(windows), return_index=True, return_inverse=True)
+
+    def repeated_inside(self, external: np.ndarray) -> np.ndarray:
+        """Places of the windows that a later document of the shard has too and
+        no earlier shard supplies."""
         last = np.zeros(len(self.keys), np.int64)
-        np.maximum.at(last, self.inverse, rank)
-        take = external | (last > rank[self.first])
-        place = np.sort(self.first[take])
-        kind = external[self.inverse[place]]
-        doc = self.owner[place]
-        start = np.concatenate([[0], np.cumsum([len(w) for w in self.windows])])
-        local = place - start[doc]
-        breaks = np.nonzero((np.diff(place) != 1) | (np.diff(doc) != 0) | (np.diff(kind.astype(np.int8)) != 0))[0] + 1
-        edges = np.concatenate([[0], breaks, [len(place)]]).astype(int)
-        return [(int(doc[a]), int(local[a]), int(local[b - 1]) + self.width, bool(kind[a])) for a, b in zip(edges, edges[1:]) if b > a]
-
-    def locate(self, passages: list[tuple[int, int, int, bool]]) -> list[np.ndarray]:
-        """Per document, which words an automaton over the passages removes."""
-        removed = [np.zeros(len(w), bool) for w in self.words]
-        if not passages:
-            return removed
-        number: dict[bytes, int] = {}
-        for doc, a, b, _ in passages:
-            for w in self.words[doc][a:b]:
-                number.setdefault(w, len(number))
-        code = word_codes(number)
-        wide, unknown = len(next(iter(code.values()))), "~" * len(next(iter(code.values())))
-        # all passages as one run of words, with a stop after each
-        parts, source, begin = [], [], []
-        for p, (doc, a, b, _) in enumerate(passages):
-            begin.append(len(parts))
-            parts += [code[w] for w in self.words[doc][a:b]] + ["." * wide]
-            source += [p] * (b - a + 1)
-        run = "".join(parts)
-        places: dict[str, list[int]] = {}
-        for p, (doc, a, b, _) in enumerate(passages):
-            phrase = runs_hash(self.hashes[doc][a:b], PHRASE)
-            view = np.lib.stride_tricks.sliding_window_view(phrase, self.width - PHRASE + 1)
-            for at in distinct(view.argmin(axis=1) + np.arange(len(view))):
-                at = begin[p] + int(at)
-                places.setdefault(run[at * wide : (at + PHRASE) * wide], []).append(at)
-        machine = ahocorasick.Automaton()
-        for phrase, at in places.items():
-            machine.add_word(phrase, at)
-        machine.make_automaton()
-        code_of = code.get
-        for d, words in enumerate(self.words):
-            n = len(words)
-            if n < self.width:
-                continue
-            line = "".join([code_of(w, unknown) for w in words])
-            rank = self.rank[d]
-            done: dict[int, int] = {}  # diagonal to where it has been read
-            for end, where in machine.iter(line):
-                here = (end + 1) // wide - PHRASE
-                for at in where:
-                    if done.get(at - here, -1) > here:
-                        continue
-                    p = source[at]
-                    home, a, b, external = passages[p]
-                    if not external and self.rank[home] >= rank:
-                        continue
-                    back = same_words(run, at, line, here, min(at - begin[p], here), wide, False)
-                    ahead = same_words(run, at, line, here, min(begin[p] + b - a - at, n - here), wide, True)
-                    done[at - here] = here + ahead
-                    if back + ahead >= self.width:
-                        removed[d][here - back : here + ahead] = True
+        np.maximum.at(last, self.inverse, self.rank[self.owner])
+        return np.sort(self.first[~external & (last > self.rank[self.owner[self.first]])])
+
+    def passages(self, places: np.ndarray, targets: np.ndarray) -> list[tuple[int, int, bytes]]:
+        """(target, home document, words) of each run of places; both sorted by (target, place)."""
+        doc = self.owner[places]
+        breaks = np.nonzero((np.diff(places) != 1) | (np.diff(doc) != 0) | (np.diff(targets) != 0))[0] + 1
+        edges = np.concatenate([[0], breaks, [len(places)]]).astype(int)
+        local = places - self.start[doc]
+        return [
+            (int(targets[a]), int(doc[a]), b" ".join(self.words[doc[a]][local[a] : local[b - 1] + self.width]))
+            for a, b in zip(edges, edges[1:])
+            if b > a
+        ]
+
+
+def locate(documents_words: list[list[bytes]], ranks: np.ndarray, passages: list[tuple[int, list[bytes]]], width: int) -> list[np.ndarray]:
+    """Per document, which words an automaton over the passages removes.
+
+    A passage is (rank of its home, words); it removes from documents of a
+    larger rank whatever agrees with it in ``width`` words or more.
+    """
+    removed = [np.zeros(len(w), bool) for w in documents_words]
+    number: dict[bytes, int] = {}
+    for _, words in passages:
+        for w in words:
+            number.setdefault(w, len(number))
+    if not number:
         return removed
+    memo, phrase = WordHash(), min(PHRASE, width)
+    code = word_codes(number)
+    wide, unknown = len(next(iter(code.values()))), "~" * len(next(iter(code.values())))
+    # all passages as one run of words, with a stop after each
+    parts, source, begin, places = [], [], [], {}
+    for p, (_, words) in enumerate(passages):
+        begin.append(len(parts))
+        parts += [code[w] for w in words] + ["." * wide]
+        source += [p] * (len(words) + 1)
+    run = "".join(parts)
+    for p, (_, words) in enumerate(passages):
+        view = np.lib.stride_tricks.sliding_window_view(runs_hash(memo.of(words), phrase), width - phrase + 1)
+        for at in distinct(view.argmin(axis=1) + np.arange(len(view))):
+            at = begin[p] + int(at)
+            places.setdefault(run[at * wide : (at + phrase) * wide], []).append(at)
+    machine = ahocorasick.Automaton()
+    for key, at in places.items():
+        machine.add_word(key, at)
+    machine.make_automaton()
+    code_of = code.get
+    for d, words in enumerate(documents_words):
+        n = len(words)
+        if n < width:
+            continue
+        line = "".join([code_of(w, unknown) for w in words])
+        rank = ranks[d]
+        done: dict[int, int] = {}  # diagonal to where it has been read
+        for end, where in machine.iter(line):
+            here = (end + 1) // wide - phrase
+            for at in where:
+                if done.get(at - here, -1) > here:
+                    continue
+                p = source[at]
+                home, own = passages[p]
+                if home >= rank:
+                    continue
+                back = same_words(run, at, line, here, min(at - begin[p], here), wide, False)
+                ahead = same_words(run, at, line, here, min(begin[p] + len(own) - at, n - here), wide, True)
+                done[at - here] = here + ahead
+                if back + ahead >= width:
+                    removed[d][here - back : here + ahead] = True
+    return removed
+
+
+def suppliers(keys: list[np.ndarray], shards: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Who has each key and who supplies it.
+
+    ``keys`` are each shard's distinct keys, in shard order. Returns, for all
+    keys in one run: whether a shard of an earlier class has it; and pairs
+    (place of the supplier's key, shard it goes to), sorted.
+    """
+    whole = np.concatenate(keys)
+    shard = np.repeat(shards, [len(k) for k in keys])
+    order = np.argsort(whole, kind="stable")
+    ranked, kind = whole[order], classes[shard[order]]
+    fresh = np.ones(len(whole), bool)
+    fresh[1:] = ranked[1:] != ranked[:-1]
+    head = fresh.copy()
+    head[1:] |= kind[1:] != kind[:-1]
+    heads = np.nonzero(head)[0]
+    before = np.where(fresh[heads], -1, heads - 1)[np.cumsum(head) - 1]
+    has = before >= 0
+    earlier = np.zeros(len(whole), bool)
+    earlier[order[has]] = True
+    place, to = order[before[has]], shard[order[has]]
+    by = np.lexsort((to, place))
+    return earlier, place[by], to[by]
 
 
 def substring_dedup(
@@ -177,16 +222,17 @@ def substring_dedup(
 
     Windows are judged on the input. Returns doc_id, n_words, n_removed,
     kept_sha256 and, with ``keep_text``, kept_text (kept words joined by one
-    space); one row per input row. Null texts count as empty. Rows with equal
-    ids are not earlier than each other; rows with a null id come after all
-    others. An empty table gives no rows; other columns are ignored. Windows
-    are told apart by 64-bit fingerprints across shards and by their words
-    within one.
+    space); one row per input row. Null texts count
+    as empty. Rows with equal ids are not earlier than each other; rows with a
+    null id come after all others and are not earlier than each other. An
+    empty table gives no rows; other columns are ignored. Whatever is removed
+    was compared word by word.
     """
     rows = documents(docs, id_col, text_col)
-    n = shards or 3 * partitions(rows.sparkSession)
-    dealt = with_range_shard(rows, n)
-    buckets = shards or partitions(rows.sparkSession)
+    spark = rows.sparkSession
+    dealt, kinds = with_range_shard(rows, shards or 3 * partitions(spark))
+    buckets = shards or partitions(spark)
+    classes = np.array(kinds, np.int64)
 
     def send(batch: pd.DataFrame) -> pd.DataFrame:
         memo = WordHash()
@@ -197,26 +243,58 @@ def substring_dedup(
 
     def confirm(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("shard")
-        flags = seen_earlier([unpack_sorted(k) for k in batch["keys"]])
-        return pd.DataFrame({"shard": batch["shard"], "bucket": batch["bucket"], "bits": [np.packbits(f).tobytes() for f in flags], "n": [len(f) for f in flags]})
+        keys = [unpack_sorted(k) for k in batch["keys"]]
+        earlier, place, to = suppliers(keys, batch["shard"].to_numpy(), classes)
+        starts = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+        cut = np.searchsorted(place, starts)
+        out = []
+        for i, shard in enumerate(batch["shard"]):
+            bits = np.packbits(earlier[starts[i] : starts[i + 1]]).tobytes()
+            mine = place[cut[i] : cut[i + 1]] - starts[i]
+            out.append((shard, batch["bucket"].iat[i], len(keys[i]), bits, packed(np.diff(mine, prepend=0)), packed(to[cut[i] : cut[i + 1]])))
+        return pd.DataFrame(out, columns=["shard", "bucket", "n", "bits", "steps", "targets"])
 
-    def stream(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        if not len(batch):
-            return pd.DataFrame({"doc_id": [], "n_words": [], "n_removed": [], "kept_sha256": [], "kept_text": []})
-        shard = Shard(batch, width, WordHash())
+    def supply(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        columns = ["shard", "homes", "words"]
+        if not len(batch) or not len(answers):
+            return pd.DataFrame(columns=columns)
+        own, shard = int(batch["shard"].iloc[0]), Shard(batch, width)
         answers = answers.sort_values("bucket")
-        external = [np.unpackbits(np.frombuffer(b, np.uint8), count=int(k)).astype(bool) for b, k in zip(answers["bits"], answers["n"])]
-        external = np.concatenate(external) if external else np.zeros(0, bool)
+        start = np.concatenate([[0], np.cumsum(answers["n"])])
+        external = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=int(k)) for b, k in zip(answers["bits"], answers["n"])]).astype(bool)
+        asked = np.concatenate([np.cumsum(unpacked(s)) + a for s, a in zip(answers["steps"], start)])
+        to = np.concatenate([unpacked(t) for t in answers["targets"]])
+        places = shard.first[asked]
+        order = np.lexsort((places, to))
+        inside = shard.repeated_inside(external)
+        found: dict[int, list] = {}
+        for target, _, words in shard.passages(places[order], to[order]):
+            found.setdefault(target, []).append((-1, words))
+        for target, doc, words in shard.passages(inside, np.full(len(inside), own)):
+            found.setdefault(target, []).append((int(shard.rank[doc]), words))
+        press = zstandard.ZstdCompressor(level=3).compress
+        out = [(t, np.array([h for h, _ in ps], "<i4").tobytes(), press(b"\n".join([w for _, w in ps]))) for t, ps in found.items()]
+        return pd.DataFrame(out, columns=columns)
+
+    def stream(batch: pd.DataFrame, supplied: pd.DataFrame) -> pd.DataFrame:
+        columns = ["doc_id", "no_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
+        if not len(batch):
+            return pd.DataFrame(columns=columns)
+        passages = []
+        for homes, words in zip(supplied["homes"], supplied["words"]):
+            lines = zstandard.ZstdDecompressor().decompress(words).split(b"\n")
+            passages += zip(np.frombuffer(homes, "<i4").tolist(), [x.split(b" ") for x in lines])
+        texts = [words_of(t) for t in batch["text"]]
         out = []
-        for words, gone in zip(shard.words, shard.locate(shard.passages(external))):
+        for words, gone in zip(texts, locate(texts, ranks_of(batch), passages, width)):
             kept = b" ".join([w for w, g in zip(words, gone.tolist()) if not g] if gone.any() else words)
             out.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "surrogatepass") if keep_text else None))
-        frame = pd.DataFrame(out, columns=["n_words", "n_removed", "kept_sha256", "kept_text"])
-        frame.insert(0, "doc_id", shard.rows["doc_id"].astype("Int64"))
-        return frame
+        frame = pd.DataFrame(out, columns=columns[2:])
+        return frame.assign(doc_id=batch["doc_id"].to_numpy(), no_id=batch["no_id"].to_numpy())
 
     sent = dealt.groupBy("shard").applyInPandas(send, "bucket int, shard int, keys binary")
-    answers = sent.groupBy("bucket").applyInPandas(confirm, "shard int, bucket int, bits binary, n long")
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    out = dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(stream, schema)
+    answers = sent.groupBy("bucket").applyInPandas(confirm, "shard int, bucket int, n long, bits binary, steps binary, targets binary")
+    supplied = dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(supply, "shard int, homes binary, words binary")
+    schema = f"{IDS}, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    out = own_ids(dealt.groupBy("shard").cogroup(supplied.groupBy("shard")).applyInPandas(stream, schema))
     return out if keep_text else out.drop("kept_text")

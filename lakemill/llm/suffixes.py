@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import (
-    LAST_ID, M1, M2, cut_by_bucket, distinct, documents, mix, pack_planes, pack_sorted, partitions, seen_earlier, unpack_planes, unpack_sorted, with_range_shard,
+    IDS, M1, M2, cut_by_bucket, distinct, documents, mix, own_ids, pack_planes, pack_sorted, partitions, seen_earlier, unpack_planes, unpack_sorted, with_range_shard,
 )
 
 LENGTH = 100
@@ -85,8 +85,7 @@ class Shard:
 
     def __init__(self, batch: pd.DataFrame, length: int):
         self.length = length
-        rank = batch["doc_id"].fillna(LAST_ID).astype("int64")
-        self.rows = batch.assign(_rank=rank).sort_values(["_rank", "text"], kind="stable").reset_index(drop=True)
+        self.rows = batch.sort_values(["doc_id", "place", "text"], kind="stable").reset_index(drop=True)  # with ids or without, as a whole
         texts = [t.encode("utf-8", "surrogatepass") for t in self.rows["text"]]
         self.ends = np.cumsum([len(t) for t in texts]) if texts else np.zeros(0, np.int64)
         self.data = np.frombuffer(b"".join(texts), np.uint8)
@@ -183,15 +182,15 @@ def suffix_array_dedup(
     n_spans, kept_sha256 and, with ``keep_text``, kept_text (characters of
     which a part was removed go whole), and the columns named in ``carry`` as a
     struct of that name; one row per input row. ``length`` is
-    at least 72. Null texts count as empty; rows with equal ids are taken in
-    order of their texts, one after another; null ids come last. An empty
-    table gives no rows; other columns are ignored.
+    at least 72. Null texts count as empty; rows with equal ids are taken one
+    after another, in order of a hash of their texts; rows with null ids come
+    last, likewise. An empty table gives no rows; other columns are ignored.
     """
     if length < 3 * TRIPLE:
         raise ValueError(f"length must be at least {3 * TRIPLE}")
     rows = documents(docs, id_col, text_col, *([F.struct(*carry).alias("carry")] if carry else []))
     n = shards or 2 * partitions(rows.sparkSession)
-    dealt = with_range_shard(rows, n)
+    dealt, _ = with_range_shard(rows, n)
     buckets = n
 
     def send(batch: pd.DataFrame) -> pd.DataFrame:
@@ -252,7 +251,7 @@ def suffix_array_dedup(
         return pd.concat([own, rest.assign(earlier=[_bits(f) for f in flags])])
 
     def finish(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+        columns = ["doc_id", "no_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
         if carry and not len(batch):
             return pd.DataFrame(columns=[*columns, "carry"])
         if not len(batch):
@@ -266,30 +265,30 @@ def suffix_array_dedup(
         again = external[inverse] | (np.arange(len(names)) != first[inverse]) if len(names) else np.zeros(0, bool)
         mask = shard.removed(repeat, places, again)
         out, start = [], 0
-        for doc, stop in zip(shard.rows["doc_id"], shard.ends.tolist()):
+        for doc, none, stop in zip(shard.rows["doc_id"], shard.rows["no_id"], shard.ends.tolist()):
             data, gone = shard.data[start:stop], mask[start:stop]
             spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
             kept = (data[~gone] if spans else data).tobytes()
             text = None
             if keep_text:
                 text = _whole_characters(data, gone) if spans else kept.decode("utf-8", "surrogatepass")
-            out.append((doc, stop - start, int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), text))
+            out.append((doc, none, stop - start, int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), text))
             start = stop
         frame = pd.DataFrame(out, columns=columns)
         if carry:
             frame["carry"] = shard.rows["carry"]
-        return frame.assign(doc_id=shard.rows["doc_id"].astype("Int64"))
+        return frame
 
-    plain = dealt.select("doc_id", "text", "shard")
+    plain = dealt.drop("carry")
     sent = plain.groupBy("shard").applyInPandas(send, "bucket int, shard int, anchors binary, kinds binary")
     cells = sent.groupBy("bucket").applyInPandas(compare_cells, "shard int, bucket int, n long, earlier binary, mixed binary")
     fields = "bucket int, shard int, own boolean, n long, earlier binary, mixed binary"
     opened = plain.groupBy("shard").cogroup(cells.groupBy("shard")).applyInPandas(send_open, fields)
     answers = opened.groupBy("bucket").applyInPandas(compare_prefixes, fields)
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+    schema = f"{IDS}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
     if carry:
         schema += f", carry {rows.schema['carry'].dataType.simpleString()}"
-    out = dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(finish, schema)
+    out = own_ids(dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(finish, schema))
     return out if keep_text else out.drop("kept_text")
 
 

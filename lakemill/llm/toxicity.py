@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import M1, M2, WordHash, crc_mod, distinct, documents, mix
+from lakemill.llm.common import IDS, M1, M2, WordHash, crc_mod, distinct, documents, mix, own_ids
 
 STEM = 4
 # Punctuation separates words; letters beyond ASCII are kept as they are.
@@ -85,17 +85,19 @@ def train(examples: list[tuple[np.ndarray, int]], s: FtrlSettings) -> tuple[np.n
 def train_model(docs: DataFrame, labels: DataFrame, s: FtrlSettings) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights learned from the first ``sample_rows`` training ids by hash.
 
-    ``docs`` has doc_id and text, ``labels`` doc_id and label (0/1). Rows
-    with a null id or label are left out; repeated ids are repeated examples.
-    Without examples the model is constant.
+    ``docs`` is of :func:`documents`, ``labels`` has doc_id and label (0/1).
+    Rows with a null id or label are left out. Each (id, label) is one
+    example, whatever the number of rows: of several texts under an id, one
+    (that of the least packed features). Without examples the model is constant.
     """
     picked = (
         labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
         .select("doc_id", F.col("label").cast("int").alias("label"))
+        .distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(s.sample_rows)
     )
-    rows = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
+    rows = docs.where("not no_id").join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHash()
@@ -114,8 +116,9 @@ def train_model(docs: DataFrame, labels: DataFrame, s: FtrlSettings) -> tuple[np
         at, w, bias = train([(np.frombuffer(x[i], "<i4"), y[i]) for i in order], s)
         return pd.DataFrame({"at": [at.astype("<i4").tobytes()], "w": [w.astype("<f4").tobytes()], "bias": [bias]})
 
+    examples = rows.mapInPandas(extract, "doc_id long, label int, x binary").groupBy("doc_id", "label").agg(F.min("x").alias("x"))
     # one task by nature of an online learner; its rows are bounded by sample_rows
-    got = rows.mapInPandas(extract, "doc_id long, label int, x binary").groupBy().applyInPandas(learn, "at binary, w binary, bias double").collect()
+    got = examples.groupBy().applyInPandas(learn, "at binary, w binary, bias double").collect()
     if not got:
         return np.zeros(0, np.int64), np.zeros(0), 0.0
     return np.frombuffer(got[0].at, "<i4").astype(np.int64), np.frombuffer(got[0].w, "<f4").astype(float), got[0].bias
@@ -155,15 +158,15 @@ def scorer(model: tuple[np.ndarray, np.ndarray, float], s: FtrlSettings):
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], s: FtrlSettings) -> DataFrame:
-    """doc_id and score for each row of doc_id and text."""
+    """doc_id, no_id and score for each row of :func:`documents`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = scorer(shared.value, s)
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": of(batch["text"])})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "no_id": batch["no_id"], "score": of(batch["text"])})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, score double")
+    return docs.select("doc_id", "no_id", "text").mapInPandas(run, f"{IDS}, score double")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, s: FtrlSettings = FtrlSettings(), label_col: str = "toxic", folds: int = 5, text_col: str = "text") -> DataFrame:
@@ -198,5 +201,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, s: FtrlSettings = FtrlSettings(
     """
     rows = documents(docs)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).alias("label")).where(crc_mod(F.col("doc_id"), folds) != 0)
-    scored = score(rows, train_model(rows, known, s), s)
+    scored = own_ids(score(rows, train_model(rows, known, s), s))
     return scored.select("doc_id", (crc_mod(F.col("doc_id"), folds) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from lakemill.llm.substring import substring_dedup
+from lakemill.llm.substring import locate, substring_dedup
 
 
 def brute(rows, width):
@@ -41,7 +41,7 @@ def corpus(seed, n):
 
 
 def test_equals_brute_force(spark):
-    for seed, shards, width in ((1, 1, 13), (2, 7, 13), (3, 5, 6)):
+    for seed, shards, width in ((1, 1, 13), (2, 7, 13), (3, 5, 6), (4, 3, 2)):
         rows = corpus(seed, 60)
         df = spark.createDataFrame([(*x, "c") for x in rows], "doc_id long, text string, n_words string")
         got = substring_dedup(df, width, shards=shards).collect()
@@ -53,3 +53,34 @@ def test_empty_and_kept_text(spark):
     assert substring_dedup(df.limit(0)).count() == 0
     got = {r.doc_id: r.kept_text for r in substring_dedup(df, 2, keep_text=True).collect()}
     assert got == {1: "x y", 2: ""}
+
+
+BIG = 2**60
+
+
+def test_ids_beside_nulls_stay_and_come_last(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(BIG + 2, text), (None, text), (BIG + 1, text), (None, text), (3, "short"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for shards in (1, 2, 7):
+        got = sorted(((g.doc_id is None, g.doc_id or 0, g.n_words, g.n_removed) for g in substring_dedup(df, shards=shards).collect()))
+        assert got == [(False, 3, 1, 0), (False, BIG + 1, 40, 0), (False, BIG + 2, 40, 40), (True, 0, 0, 0), (True, 0, 40, 40), (True, 0, 40, 40)]
+
+
+def test_hot_ids_and_rows_without_one(spark):
+    r = random.Random(5)
+    phrase = " ".join(f"p{i}" for i in range(20))
+    filler = lambda: " ".join(r.choice("abcdefgh") * 3 + str(r.randint(0, 999)) for _ in range(30))
+    rows = [(i, f"{filler()} {phrase}") for i in range(5)] + [(7, f"{phrase} {filler()}") for _ in range(40)] + [(None, f"{phrase} {filler()}") for _ in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup(df, shards=6).collect()
+    assert sorted((str(g.doc_id), g.n_words, g.n_removed, g.kept_sha256) for g in got) == brute(rows, 13)
+
+
+def test_only_the_automaton_removes():
+    words = [b"a%d" % i for i in range(30)]
+    ranks = [0, 1]
+    assert not any(m.any() for m in locate([words, words], ranks, [], 13))
+    assert [int(m.sum()) for m in locate([words, words], ranks, [(0, words)], 13)] == [0, 30]
+    assert [int(m.sum()) for m in locate([words, words], ranks, [(-1, words[:14])], 13)] == [14, 14]
+    assert not any(m.any() for m in locate([words, words], ranks, [(-1, words[:12] + [b"x"])], 13))
