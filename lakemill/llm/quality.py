@@ -3,9 +3,12 @@
 Lines are normalised (lower case, white space collapsed) and hashed; a line
 that occurs in more than ``max_documents`` distinct documents of one host is
 boilerplate and is removed; a document is rejected when too little is left.
-Line hashes are made distinct within each document first, so counting is a
-plain partial aggregation and a line that every document has costs each task
-one row.
+
+Texts are read once: one scan makes a row per document of its counts and line
+hashes, which is written; what follows reads only that. Rows per (host, line)
+are counted first, each document's once, as a plain partial aggregation that
+costs a line which every document has one row per task; only the lines with
+enough rows are then counted by distinct documents.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.llm.common import checkpointed
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 NONSPACE = "[^\\x20\\x09-\\x0D]"
 
@@ -28,14 +33,17 @@ def _repeated_places(ranked: Column) -> Column:
     return F.sort_array(F.filter(places, lambda i: i.isNotNull()))
 
 
-def base_rules(docs: DataFrame, width: int = 5, columns: tuple[str, ...] = ()) -> DataFrame:
-    """Per-document counts by built-in functions; text is read once.
+def document_counts(docs: DataFrame, width: int = 5) -> DataFrame:
+    """Per-document counts and line hashes by built-in functions, in one pass.
 
-    Expects columns key, host and text (not null); keeps key, host and
-    ``columns``. Windows are compared by 64-bit hashes within one document.
+    Expects a column text (not null), which it replaces by n_words,
+    word_chars, n_symbols, n_dup_lines, n_repeat_words and lines, an array of
+    the hash and word characters of each line with a word. Windows are
+    compared by 64-bit hashes within one document.
     """
     step = docs.withColumn("words", _words(F.col("text")))
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(NONSPACE))
+    names = docs.columns
     step = step.withColumns(
         {
             "n_words": F.size("words").cast("long"),
@@ -48,7 +56,8 @@ def base_rules(docs: DataFrame, width: int = 5, columns: tuple[str, ...] = ()) -
             ).otherwise(F.array().cast("array<bigint>")),
         }
     ).drop("words", "text")
-    step = step.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")).drop("lines")
+    step = step.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
+    step = step.withColumn("lines", _content_lines(F.col("lines")))
     step = step.withColumn(
         "ranked",
         F.when(
@@ -64,41 +73,29 @@ def base_rules(docs: DataFrame, width: int = 5, columns: tuple[str, ...] = ()) -
         lambda a: a["n"],
     )
     return step.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).select(
-        "key", "host", *columns, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
+        *[n for n in names if n != "text"], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"
     )
 
 
-def _content_lines(text: Column) -> Column:
-    """Hash and word characters of each normalised line that has a word."""
-    lines = F.transform(F.split(F.lower(text), "\n", -1), lambda x: F.trim(F.regexp_replace(x, SPACE, " ")))
-    return F.transform(
-        F.filter(lines, lambda x: x != ""),
-        lambda x: F.struct(F.xxhash64(x).alias("h"), F.length(F.replace(x, F.lit(" "))).alias("chars")),
-    )
+def _content_lines(lines: Column) -> Column:
+    """Hash and word characters of each line, normalised."""
+    plain = F.transform(lines, lambda x: F.trim(F.regexp_replace(F.lower(x), SPACE, " ")))
+    return F.transform(plain, lambda x: F.struct(F.xxhash64(x).alias("h"), F.length(F.replace(x, F.lit(" "))).alias("chars")))
 
 
-def line_frequency(docs: DataFrame, max_documents: int) -> DataFrame:
-    """What boilerplate lines take from each document.
+def boilerplate(counts: DataFrame, max_documents: int) -> DataFrame:
+    """What boilerplate lines take from each row.
 
-    Returns key, removed_chars and removed_lines; documents without such
-    lines are absent. Rows with equal keys are copies and count once here.
+    ``counts`` has row, document, host and lines. Returns row, removed_chars
+    and removed_lines; rows without such lines are absent.
     """
-    lines = docs.select("key", "host", _content_lines(F.col("text")).alias("lines"))
-    common = (
-        lines.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-        .groupBy("host", "h")
-        .count()
-        .where(F.col("count") > max_documents)
-        .drop("count")
-    )
-    each = lines.select("key", "host", F.posexplode("lines").alias("place", "line")).select(
-        "key", "host", "place", F.col("line.h").alias("h"), F.col("line.chars").alias("chars")
-    )
-    hits = each.join(common, ["host", "h"], "left_semi")
-    return (
-        hits.groupBy("key", "place").agg(F.max("chars").alias("chars"))
-        .groupBy("key").agg(F.sum("chars").alias("removed_chars"), F.count("*").alias("removed_lines"))
-    )
+    hashes = F.array_distinct(F.transform("lines", lambda x: x["h"]))
+    often = counts.select("host", F.explode(hashes).alias("h")).groupBy("host", "h").count().where(F.col("count") > max_documents).select("host", "h")
+    each = counts.select("row", "document", "host", F.explode("lines").alias("line")).select("row", "document", "host", "line.*")
+    hits = each.join(often, ["host", "h"], "left_semi")
+    common = hits.select("host", "h", "document").distinct().groupBy("host", "h").count().where(F.col("count") > max_documents).select("host", "h")
+    taken = hits.join(common, ["host", "h"], "left_semi")
+    return taken.groupBy("row").agg(F.sum("chars").alias("removed_chars"), F.count("*").alias("removed_lines"))
 
 
 def quality_rules(
@@ -113,22 +110,24 @@ def quality_rules(
 ) -> DataFrame:
     """Judge every document; one row per input row.
 
-    A line found in more than ``max_documents`` documents of its host is
+    A line found in more than ``max_documents`` distinct documents of its host is
     removed. Rejected are documents that fail the base rules (too few words,
     too many repeated ones) and depleted ones: less than ``least_left`` of
     their word characters remain after the removal.
 
     Null texts are empty and fail the base rules; a null host is a host of
-    its own; rows with equal id and text are copies with equal verdicts, each
-    of which counts as a document. Other columns are ignored, so they may
-    have any name. An empty table gives no rows.
+    its own. Documents are told apart by their ids: rows of one id (whatever
+    their texts) count as one document for a line, and each is judged; a row
+    without an id is a document named by its text. Other columns are ignored,
+    so they may have any name. An empty table gives no rows.
     """
+    document = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("\x00")).alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    ).withColumn("key", F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), "text"))
-    base = base_rules(rows, columns=("doc_id",))
-    taken = line_frequency(rows, max_documents)
-    out = base.join(taken, "key", "left").withColumns(
+    ).withColumns({"document": document, "row": F.monotonically_increasing_id()})
+    counts = checkpointed(document_counts(rows))
+    taken = boilerplate(counts, max_documents)
+    out = counts.drop("lines", "document", "host").join(taken, "row", "left").withColumns(
         {
             "removed_chars": F.coalesce("removed_chars", F.lit(0)).cast("long"),
             "removed_lines": F.coalesce("removed_lines", F.lit(0)).cast("long"),

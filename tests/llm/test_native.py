@@ -57,14 +57,16 @@ def test_quality_equals_brute_force(spark, limit):
     texts += [f"{common}\nunique text number {i} with its own several words here {i * 7}\nshare this page now" for i in range(6)]
     texts += [common + "\n" + common + f"\n{i}" for i in range(3)]
     rows = [(i, t, "h" if i % 5 else None, "clash", 1) for i, t in enumerate(texts)] + [(8, texts[8], "h", "clash", 1), (None, texts[9], "h", "c", 1)]
+    rows += [(70, "Often said once\na second line", "a", "c", 1)] * 25 + [(i, "common in a\nand more of it", "a", "c", 1) for i in range(80, 104)]
+    rows += [(80, "common in a\nand more of it", "b", "c", 1), (71, "a third\noften said once", "a", "c", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, host string, key int")
     got = sorted(quality.quality_rules(df, max_documents=limit).collect(), key=lambda r: str(r))
     assert len(got) == len(rows)
     norm = lambda x: " ".join(w.decode() for w in x.lower().encode().split())
     seen = {}
-    for n, (_, t, h, _, _) in enumerate(rows):
+    for i, t, h, _, _ in rows:
         for x in {norm(x) for x in (t or "").split("\n")} - {""}:
-            seen.setdefault((h, x), set()).add(n)
+            seen.setdefault((h, x), set()).add(t if i is None else i)
     want = []
     for i, t, h, _, _ in rows:
         w, chars, symbols, dup, rep = plain(t)
