@@ -4,19 +4,30 @@ Every word that comes before another has a context restaurant; all of them
 share one parent, the root restaurant over single words, whose base is uniform
 over the vocabulary and one unknown word. Customers of a context restaurant
 are the tokens seen after its word; each of its tables sends one customer to
-the root. Seating is sampled by Gibbs: given the other tables of a restaurant,
-the number of tables of a dish has a closed form (generalised Stirling
-numbers), from which it is drawn. Predictive probabilities use the average
-over the samples.
-
-Layout: documents are dealt to shards, and a shard sends each distinct (context,
-word) pair once, with its training count, to the bucket of the context; buckets
-seat whole restaurants and send the tables of each word on to the word's bucket,
-which seats its part of the root. Within a bucket the parent's probability of a
-word is estimated from the bucket's own restaurants, a random share of all
-(approximate distributed Gibbs). Contexts that hold over a thousandth of a
-bounded sample of tokens are hot: they are dealt to ``HOT_PARTS`` buckets by
-word, each seating its part.
+the root, where customers sit at tables likewise.
+
+Seating is sampled by Gibbs, in sweeps. In a sweep every dish of the context
+restaurants redraws its number of tables given the other tables of its
+restaurant and the root's probability of the dish, both as the sweep before
+left them (that conditional has a closed form with generalised Stirling
+numbers); the new tables are the root's customers, whose dishes are then
+redrawn the same way. A text's probability uses the average of the predictive
+probabilities of the sweeps after the first few.
+
+One model, whatever the layout: a draw is a hash of the context, the word and
+the sweep, counts are integers and the totals of restaurants and of the root
+are exact, so neither shards nor buckets nor hot contexts alter a score.
+
+Layout: documents are packed into shards. A shard sends each distinct
+(context, word) pair once, with its training count, to the bucket of the
+context. A bucket merges its pairs, keeps those that can change (pairs seen
+twice or more; a pair seen once has one table) and is at the same time the
+root of the words that hash to it. A sweep is one message from each bucket to
+each root bucket (tables of the words they share) and one back (customers and
+tables at the root), as packed arrays of small numbers in an order fixed once.
+Contexts that hold over a thousandth of a bounded sample of tokens are spread
+over the buckets of ``HOT_PARTS`` parts by word, and their tables are summed
+with every sweep.
 """
 
 from __future__ import annotations
@@ -30,7 +41,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import (
-    IDS, M2, WordHash, ascii_lower_words, bucket_of, checkpointed, crc_mod, cut_by_bucket, documents, mix, own_id, own_ids, pack_planes, pack_sorted, partitions, unpack_planes, unpack_sorted,
+    IDS, M1, M2, WordHash, ascii_lower_words, bucket_of, checkpointed, crc_mod, cut_by_bucket, documents, mix, own_id, own_ids, pack_planes, pack_sorted,
+    partitions, unpack_planes, unpack_sorted,
 )
 
 START = np.uint64(0x5354415254)  # context of a text's first word
@@ -39,8 +51,10 @@ HOT_PARTS = 64
 HOT_SAMPLE = 2_000  # documents looked at to find hot contexts
 STIRLING = 64
 SWEEPS, BURN_IN = 5, 2
+SAMPLES = SWEEPS - BURN_IN
 DISH_BYTES = 5  # a dish is named by the upper 40 bits of its word's hash
 SIDE = np.uint64(64 - 8 * DISH_BYTES)
+LOW32 = np.uint64(0xFFFFFFFF)
 
 
 class Prior:
@@ -62,11 +76,18 @@ def log_stirling(d: float, most: int = STIRLING) -> np.ndarray:
     return out
 
 
-def seat(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, theta: float, table: np.ndarray, rng) -> np.ndarray:
+def uniform(keys: np.ndarray, sweep: int, step: int) -> np.ndarray:
+    """One number in (0, 1] for each key: what is drawn depends on nothing else."""
+    x = mix(keys + np.uint64((sweep << 32 | step) * int(M2) % 2**64))
+    return ((mix(x ^ (x >> np.uint64(32))) >> np.uint64(11)) + np.uint64(1)) * 2.0**-53
+
+
+def seat(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, theta: float, table: np.ndarray, draw) -> np.ndarray:
     """Draw the number of tables of dishes with ``c`` customers.
 
-    ``others`` are the tables of other dishes in the restaurant and ``parent``
-    the parent's probability of the dish. Up to STIRLING customers the draw is
+    ``others`` are the tables of other dishes in the restaurant, ``parent`` the
+    parent's probability of the dish, and ``draw(rows, step)`` gives uniform
+    numbers for some of the dishes. Up to STIRLING customers the draw is
     from the exact conditional; larger dishes are seated one customer after
     another, skipping from one new table to the next.
     """
@@ -79,53 +100,31 @@ def seat(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, theta:
             weight = np.cumsum(np.log((theta + d * (others[rows, None] + k)) * parent[rows, None]), axis=1) + table[n, 1 : n + 1]
             weight = np.exp(weight - weight.max(axis=1, keepdims=True))
             total = np.cumsum(weight, axis=1)
-            t[rows] = 1 + (total < rng.random(len(rows))[:, None] * total[:, -1:]).sum(axis=1)
+            t[rows] = 1 + (total < draw(rows, 0)[:, None] * total[:, -1:]).sum(axis=1)
     at = np.nonzero(c > STIRLING)[0]
     tables = np.ones(len(at), np.int64)
     for j in range(1, STIRLING):  # the first customers one by one
         a = (theta + d * (others[at] + tables)) * parent[at]
-        tables += rng.random(len(at)) * (a + j - d * tables) < a
-    seated = np.full(len(at), float(STIRLING))
+        tables += draw(at, j) * (a + j - d * tables) < a
+    seated, step = np.full(len(at), float(STIRLING)), STIRLING
     while len(at):
         a = (theta + d * (others[at] + tables)) * parent[at]
         shift = (a - 1) / 2 - d * tables
         with np.errstate(over="ignore"):
-            seated = np.maximum(np.ceil((np.maximum(seated + shift, 1e-9)) * rng.random(len(at)) ** (-1 / a) - shift), seated + 1)
+            seated = np.maximum(np.ceil((np.maximum(seated + shift, 1e-9)) * draw(at, step) ** (-1 / a) - shift), seated + 1)
+        step += 1
         done = ~(seated <= c[at])
         t[at[done]] = tables[done]
         at, seated, tables = at[~done], seated[~done], tables[~done] + 1
     return t
 
 
-def sample_tables(c: np.ndarray, restaurant: np.ndarray, parent: np.ndarray, d: float, theta: float, scale: np.ndarray, seed: int) -> np.ndarray:
-    """Sum over the kept sweeps of each dish's number of tables.
-
-    ``restaurant`` numbers the restaurants; all dishes are drawn together
-    given the restaurant's tables of the sweep before, times the restaurant's
-    ``scale`` (where only one in so many of its dishes is here).
-    """
-    rng = np.random.default_rng(seed)
-    table = log_stirling(d)
-    t = np.minimum(c, 1).astype(np.int64)
-    out = np.zeros(len(c), np.int64)
-    many = np.nonzero(c > 1)[0]
-    for sweep in range(SWEEPS):
-        whole = np.bincount(restaurant, weights=t, minlength=len(scale)) * scale
-        t[many] = seat(c[many], np.maximum(whole[restaurant[many]] - t[many], 0), parent[many], d, theta, table, rng)
-        if sweep >= BURN_IN:
-            out += t
-    return out
-
-
-SAMPLES = SWEEPS - BURN_IN
-
-
 class Shard:
     """One shard's tokens: words, contexts and distinct pairs, in sorted order."""
 
-    def __init__(self, batch: pd.DataFrame, hot: np.ndarray):
+    def __init__(self, texts: list[str], held_out: np.ndarray, hot: np.ndarray):
         memo = WordHash()
-        runs = [memo.of(ascii_lower_words(t)) for t in batch["text"]]
+        runs = [memo.of(ascii_lower_words(t)) for t in texts]
         self.sizes = np.array([len(r) + 1 for r in runs], np.int64)
         ends = np.cumsum(self.sizes) - 1
         token = np.empty(int(self.sizes.sum()), np.uint64)
@@ -136,17 +135,16 @@ class Shard:
         before = np.empty(len(token), np.uint64)
         before[1:] = token[:-1]
         before[np.concatenate([[0], ends[:-1] + 1])] = START
-        self.train = np.repeat(~batch["held_out"].to_numpy(bool), self.sizes)
+        train = np.repeat(~held_out, self.sizes)
         self.words, self.word = np.unique(token, return_inverse=True)
-        self.word_counts = np.bincount(self.word[self.train], minlength=len(self.words))
+        self.word_counts = np.bincount(self.word[train], minlength=len(self.words))
         self.hot = np.isin(before, hot)
         context = before.copy()
         part = (token[self.hot] >> SIDE) % np.uint64(HOT_PARTS)
         context[self.hot] = mix(before[self.hot] + (part + np.uint64(1)) * M2)
-        self.contexts, at = np.unique(context, return_inverse=True)
-        self.context = at
-        self.pairs, self.pair = np.unique(at.astype(np.uint64) << np.uint64(32) | self.word.astype(np.uint64), return_inverse=True)
-        self.pair_counts = np.bincount(self.pair[self.train], minlength=len(self.pairs))
+        self.contexts, self.context = np.unique(context, return_inverse=True)
+        self.pairs, self.pair = np.unique(self.context.astype(np.uint64) << np.uint64(32) | self.word.astype(np.uint64), return_inverse=True)
+        self.pair_counts = np.bincount(self.pair[train], minlength=len(self.pairs))
         # each token's context as a word of this shard; the start has as many customers as the end
         self.before = np.searchsorted(self.words, np.where(before == START, END, before))
         self.before_key = before
@@ -154,7 +152,7 @@ class Shard:
 
 def hot_contexts(docs: DataFrame, share: float = 1e-3) -> np.ndarray:
     """Words over ``share`` of the tokens of a bounded sample (at most 1 / share
-    words), and the start. Only the layout depends on it."""
+    words), and the start. The layout depends on it, scores do not."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = WordHash()
@@ -171,17 +169,26 @@ def hot_contexts(docs: DataFrame, share: float = 1e-3) -> np.ndarray:
     return np.unique(np.append(np.array([r.h for r in hot], np.int64).view(np.uint64), START))
 
 
-# one shape for all messages; what a field holds depends on the kind
-FIELDS = "bucket int, shard int, kind int, keys binary, sizes binary, dishes binary, counts binary, tables binary, words binary, word_counts binary"
-NAMES = [f.split()[0] for f in FIELDS.split(", ")]
-SENT, WORDS, TABLES, HOT, SEATED, ROOT = range(6)
-
-
 def part_names(hot: np.ndarray) -> np.ndarray:
     """Names of the parts of hot contexts: a row for each."""
     return mix(hot[:, None] + (np.arange(HOT_PARTS, dtype=np.uint64) + np.uint64(1)) * M2)
 
 
+# One shape for all messages; what a field holds depends on the kind. ``to`` is a bucket, or
+# a shard in the last exchange; ``source`` is the shard or bucket it comes from.
+FIELDS = "to int, kind int, source int, a binary, b binary, c binary, d binary, e binary, f binary"
+NAMES = [f.split()[0] for f in FIELDS.split(", ")]
+SENT, MULTI, SHARED, HOT, STATE, TABLES, ROOT, REPLY, SEATED, TOP = range(10)
+
+
+def message(to: int, kind: int, source: int, a=b"", b=b"", c=b"", d=b"", e=b"", f=b"") -> tuple:
+    return (to, kind, source, a, b, c, d, e, f)
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=NAMES)
+
+
 def _ints(x: np.ndarray) -> bytes:
     """Small numbers, packed by planes and compressed."""
     return zstandard.ZstdCompressor(level=1).compress(pack_planes(x.astype("<u4")))
@@ -191,6 +198,17 @@ def _uints(data: bytes) -> np.ndarray:
     return unpack_planes(zstandard.ZstdDecompressor().decompress(data), "<u4").astype(np.int64)
 
 
+def _rows_of(lists: list[np.ndarray]) -> bytes:
+    """Several lists of one length, each as differences from the one before."""
+    out = [x - y for x, y in zip(lists, [0, *lists])]
+    return _ints(np.concatenate(out)) if out else b""
+
+
+def _lists_of(data: bytes, n: int) -> list[np.ndarray]:
+    flat = _uints(data).astype("<u4").reshape(n, -1)
+    return [x.astype(np.int64) for x in np.cumsum(flat, axis=0, dtype="<u4")]
+
+
 def _dishes(x: np.ndarray) -> bytes:
     """Upper bytes as byte planes."""
     return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - DISH_BYTES :].T.tobytes()
@@ -203,73 +221,281 @@ def _undishes(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
-def _seat_pairs(rows: pd.DataFrame, bucket: int, buckets: int, hot: np.ndarray) -> list[tuple]:
-    """Seat the restaurants of a bucket; answers for shards, tables for words."""
-    contexts = [unpack_sorted(k) for k in rows["keys"]]
-    sizes = [_uints(s) for s in rows["sizes"]]
-    dish = [_undishes(d) for d in rows["dishes"]]
-    count = np.concatenate([_uints(c) for c in rows["counts"]])
-    restaurants, number = np.unique(np.concatenate(contexts), return_inverse=True)
-    number = np.repeat(number, np.concatenate(sizes))
-    words, word = np.unique(np.concatenate(dish), return_inverse=True)
-    pairs, pair = np.unique(number.astype(np.uint64) << np.uint64(32) | word.astype(np.uint64), return_inverse=True)
-    c = np.bincount(pair, weights=count, minlength=len(pairs)).astype(np.int64)
-    home, what = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    seen = np.bincount(what[c > 0], minlength=len(words))
-    parent = np.maximum(seen[what], 1) / max(1, seen.sum())
-    parts = part_names(hot)
-    split = np.isin(restaurants, parts)
-    t = sample_tables(c, home, parent, Prior.d, Prior.theta, np.where(split, float(HOT_PARTS), 1.0), bucket)
-    whole = np.bincount(home, weights=t, minlength=len(restaurants)).astype(np.int64)
-    out, at = [], 0
-    for shard, ctx, size in zip(rows["shard"], contexts, sizes):
-        mine = pair[at : at + size.sum()]
-        at += len(mine)
-        room = np.searchsorted(restaurants, ctx)
-        extra = t[mine] - SAMPLES * (c[mine] > 0)
-        out.append((bucket, shard, SEATED, b"", _ints(whole[room]), b"", _ints(c[mine]), _ints(extra), b"", b""))
-    for u in np.nonzero(np.isin(parts, restaurants[split]).any(axis=1))[0]:
-        tables = int(whole[np.isin(restaurants, parts[u])].sum())
-        out.append((int(bucket_of(hot[u : u + 1], buckets)[0]), -1, HOT, hot[u : u + 1].tobytes(), b"", b"", b"", np.int64(tables).tobytes(), b"", b""))
-    sums = np.bincount(what, weights=t, minlength=len(words)).astype(np.int64)
-    has = sums > 0
-    words, sums = words[has], sums[has]
-    ends = cut_by_bucket(words, buckets)
-    out += [(b, -1, TABLES, pack_sorted(words[lo:hi] >> SIDE), b"", b"", _ints(sums[lo:hi]), b"", b"", b"") for b, (lo, hi) in enumerate(zip(ends, ends[1:])) if hi > lo]
+def _join(xs: list[np.ndarray], kind) -> np.ndarray:
+    return np.concatenate(xs) if len(xs) else np.zeros(0, kind)
+
+
+def _pick(rows: pd.DataFrame, kind: int) -> pd.DataFrame:
+    return rows[rows["kind"] == kind].sort_values("source")
+
+
+class Merged:
+    """What a bucket's shards have sent: its restaurants and its words."""
+
+    def __init__(self, sent: pd.DataFrame):
+        self.sources = sent["source"].tolist()
+        self.contexts = [unpack_sorted(k) for k in sent["a"]]
+        self.sizes = [_uints(s) for s in sent["b"]]
+        dish = _join([_undishes(d) for d in sent["c"]], np.uint64)
+        count = _join([_uints(c) for c in sent["d"]], np.int64)
+        self.restaurants, number = np.unique(_join(self.contexts, np.uint64), return_inverse=True)
+        number = np.repeat(number, _join(self.sizes, np.int64))
+        self.dishes, dish = np.unique(dish, return_inverse=True)
+        pairs, self.pair = np.unique(number.astype(np.uint64) << np.uint64(32) | dish.astype(np.uint64), return_inverse=True)
+        self.c = np.bincount(self.pair, weights=count, minlength=len(pairs)).astype(np.int64)
+        self.home, self.what = (pairs >> np.uint64(32)).astype(np.int64), (pairs & LOW32).astype(np.int64)
+        self.lists = [unpack_sorted(k) for k in sent["e"]]
+        self.words, self.word = np.unique(_join(self.lists, np.uint64), return_inverse=True)
+        counts = _join([_uints(c) for c in sent["f"]], np.int64)
+        self.word_counts = np.bincount(self.word, weights=counts, minlength=len(self.words)).astype(np.int64)
+
+
+def _layout(m: Merged, bucket: int, buckets: int, parts: np.ndarray, hot: np.ndarray) -> list[tuple]:
+    """What sweeps need of a bucket: pairs that can change, tables that cannot,
+    and the words shared with each root bucket."""
+    changing, once = np.nonzero(m.c > 1)[0], m.c == 1
+    singles = np.bincount(m.home[once], minlength=len(m.restaurants))
+    rooms, size = np.unique(m.home[changing], return_counts=True)
+    out = [message(bucket, MULTI, bucket, pack_sorted(m.restaurants[rooms]), _ints(size), _dishes(m.dishes[m.what[changing]]), _ints(m.c[changing]), _ints(singles[rooms]))]
+    fixed = np.bincount(m.what[once], minlength=len(m.dishes))
+    moves = np.zeros(len(m.dishes), bool)
+    moves[m.what[changing]] = True
+    used = moves | (fixed > 0)
+    names, fixed, moves = m.dishes[used], fixed[used], moves[used]
+    totals = np.array([m.word_counts.sum(), (m.word_counts > 0).sum()], "<i8").tobytes()
+    ends = cut_by_bucket(names, buckets)
+    for r, (lo, hi) in enumerate(zip(ends, ends[1:])):
+        out.append(message(r, SHARED, bucket, pack_sorted(names[lo:hi] >> SIDE), _ints(fixed[lo:hi]), np.packbits(moves[lo:hi]).tobytes(), f=totals))
+    for u in np.nonzero(np.isin(parts, m.restaurants).any(axis=1))[0]:
+        n = int(singles[np.isin(m.restaurants, parts[u])].sum())
+        out.append(message(int(bucket_of(hot[u : u + 1], buckets)[0]), HOT, bucket, hot[u : u + 1].tobytes(), np.int64(n).tobytes()))
     return out
 
 
-def _seat_root(rows: pd.DataFrame, bucket: int, buckets: int, shards: int) -> list[tuple]:
-    """Seat a bucket's part of the root; answers for every shard, with totals."""
-    sent = rows[rows["kind"] == WORDS].sort_values("shard")
-    tabs = rows[rows["kind"] == TABLES]
-    keys = [unpack_sorted(k) for k in sent["words"]]
-    counts = [_uints(c) for c in sent["word_counts"]]
-    join = lambda xs, kind: np.concatenate(xs) if len(xs) else np.zeros(0, kind)
-    words, word = np.unique(join(keys, np.uint64), return_inverse=True)
-    c = np.bincount(word, weights=join(counts, np.int64), minlength=len(words)).astype(np.int64)
-    dishes = join([unpack_sorted(d) << SIDE for d in tabs["keys"]], np.uint64)
-    tables = join([_uints(x) for x in tabs["counts"]], np.int64)
-    names, name = np.unique(dishes, return_inverse=True)
-    customers = np.bincount(name, weights=tables, minlength=len(names))
-    at = np.searchsorted(names, (words >> SIDE) << SIDE)
-    at[at == len(names)] = 0
-    found = (names[at] == (words >> SIDE) << SIDE) & (c > 0) if len(names) else np.zeros(len(words), bool)
-    mean = np.where(found, customers[at] / SAMPLES, 0.0) if len(names) else np.zeros(len(words))
-    seats = np.maximum(np.rint(mean), found).astype(np.int64)
-    known = int((c > 0).sum())
-    base = np.full(len(words), 1 / (known * buckets + 1))
-    t = sample_tables(seats, np.zeros(len(words), np.int64), base, Prior.d_root, Prior.theta_root, np.array([float(buckets)]), buckets + bucket)
-    totals = np.array([c.sum(), known, seats.sum(), t.sum() / SAMPLES]).tobytes()
-    warm = rows[rows["kind"] == HOT].groupby("keys")["tables"].agg(lambda x: sum(int(np.frombuffer(v, np.int64)[0]) for v in x))
-    hot_keys, hot_tables = b"".join(warm.index), np.array(warm.tolist(), np.int64).tobytes()
-    answers = dict.fromkeys(range(shards), (_ints(c[:0]),) * 3)
+class Changing:
+    """The pairs of a bucket whose tables are redrawn."""
+
+    def __init__(self, fixed: pd.DataFrame, parts: np.ndarray, hot: np.ndarray):
+        row = _pick(fixed, MULTI)
+        self.restaurants = unpack_sorted(row["a"].iat[0]) if len(row) else np.zeros(0, np.uint64)
+        size = _uints(row["b"].iat[0]) if len(row) else np.zeros(0, np.int64)
+        self.home = np.repeat(np.arange(len(size)), size)
+        self.dish = _undishes(row["c"].iat[0]) if len(row) else np.zeros(0, np.uint64)
+        self.c = _uints(row["d"].iat[0]) if len(row) else np.zeros(0, np.int64)
+        self.singles = _uints(row["e"].iat[0]) if len(row) else np.zeros(0, np.int64)
+        flat = parts.ravel()
+        order = np.argsort(flat)
+        at = np.minimum(np.searchsorted(flat[order], self.restaurants), len(flat) - 1)
+        split = flat[order][at] == self.restaurants
+        self.hot = np.where(split, order[at] // HOT_PARTS, -1)  # number of the hot context, or -1
+        names = np.where(split, hot[np.maximum(self.hot, 0)], self.restaurants)
+        self.keys = mix(names[self.home] * M1 + (self.dish >> SIDE) * M2 + np.uint64(1))
+        self.names, self.name = np.unique(self.dish, return_inverse=True)
+
+    def tables_of(self, t: np.ndarray) -> np.ndarray:
+        """Tables of each restaurant here (of hot ones, the part's that change)."""
+        return np.bincount(self.home, weights=t, minlength=len(self.restaurants)).astype(np.int64) + np.where(self.hot < 0, self.singles, 0)
+
+
+def _root_value(customers, tables, totals: np.ndarray):
+    """Probability of a word at the root. ``totals``: tokens, words, customers, tables."""
+    p = Prior
+    back = (p.theta_root + p.d_root * totals[3]) / (p.theta_root + totals[2]) / (totals[1] + 1)
+    return (customers - p.d_root * tables) / (p.theta_root + totals[2]) + back
+
+
+def _sweep_contexts(fixed: pd.DataFrame, got: pd.DataFrame | None, bucket: int, buckets: int, sweep: int, parts: np.ndarray, hot: np.ndarray) -> list[tuple]:
+    """Redraw a bucket's tables (sweep 0 sets one for each pair) and send them to the roots."""
+    x = Changing(fixed, parts, hot)
+    history, totals = [], np.zeros(4)
+    if sweep == 0:
+        t, summed = np.ones(len(x.c), np.int64), np.zeros(len(x.c), np.int64)
+    else:
+        replies = _pick(got, REPLY)
+        totals = np.sum([np.frombuffer(f, "<f8") for f in replies["f"]], axis=0)
+        state = _pick(got, STATE)
+        t, summed = (_uints(state[k].iat[0]) for k in "ab") if len(state) else (np.zeros(0, np.int64),) * 2
+        history = _lists_of(state["c"].iat[0], max(0, sweep - 1 - BURN_IN)) if len(state) and sweep - 1 > BURN_IN else []
+        customers, tables = (_join([_uints(v) for v in replies[k]], np.int64) for k in "ab")
+        parent = _root_value(customers, tables, totals)[x.name]
+        whole = x.tables_of(t)
+        for _, row in _pick(got, HOT).iterrows():
+            whole[x.hot == np.searchsorted(hot, np.frombuffer(row["a"], np.uint64)[0])] = np.frombuffer(row["b"], np.int64)[0]
+        others = np.maximum(whole[x.home] - t, 0)
+        t = seat(x.c, others, parent, Prior.d, Prior.theta, log_stirling(Prior.d), lambda rows, step: uniform(x.keys[rows], sweep, step))
+        if sweep > BURN_IN:
+            summed = summed + t - 1
+            history = [*history, x.tables_of(t)]
+    out = [message(bucket, STATE, bucket, _ints(t), _ints(summed), _rows_of(history))]
+    sums = np.bincount(x.name, weights=t, minlength=len(x.names)).astype(np.int64)
+    ends = cut_by_bucket(x.names, buckets)
+    out += [message(r, TABLES, bucket, _ints(sums[lo:hi]), f=totals.tobytes()) for r, (lo, hi) in enumerate(zip(ends, ends[1:]))]
+    whole = x.tables_of(t)
+    for u in np.unique(x.hot[x.hot >= 0]).tolist():
+        n = np.int64(whole[x.hot == u].sum())
+        out.append(message(int(bucket_of(hot[u : u + 1], buckets)[0]), HOT, bucket, hot[u : u + 1].tobytes(), n.tobytes()))
+    return out
+
+
+def _sweep_root(fixed: pd.DataFrame, got: pd.DataFrame, bucket: int, buckets: int, sweep: int, parts: np.ndarray, hot: np.ndarray) -> list[tuple]:
+    """Redraw a root bucket's tables (sweep 0 sets one for each word) and answer all buckets."""
+    shared, sent = _pick(fixed, SHARED), _pick(got, TABLES)
+    lists = [unpack_sorted(a) << SIDE for a in shared["a"]]
+    moves = [np.unpackbits(np.frombuffer(c, np.uint8), count=len(k)).astype(bool) for c, k in zip(shared["c"], lists)]
+    new = dict(zip(sent["source"], sent["a"]))
+    names, name = np.unique(_join(lists, np.uint64), return_inverse=True)
+    each = []
+    for source, still, move in zip(shared["source"], shared["b"], moves):
+        tables = _uints(still)
+        if source in new:
+            tables[move] += _uints(new[source])
+        each.append(tables)
+    customers = np.bincount(name, weights=_join(each, np.int64), minlength=len(names)).astype(np.int64)
+    n, v = np.sum([np.frombuffer(f, "<i8") for f in shared["f"]], axis=0) if len(shared) else (0, 0)
+    state, history = _pick(got, ROOT), []
+    if sweep == 0:
+        t = np.ones(len(names), np.int64)
+    else:
+        before = np.frombuffer(sent["f"].iat[0], "<f8")[3]
+        t = _uints(state["a"].iat[0])
+        history = _lists_of(state["b"].iat[0], 2 * (sweep - 1 - BURN_IN)) if sweep - 1 > BURN_IN else []
+        keys = mix((names >> SIDE) * M1 + np.uint64(2))
+        base = np.full(len(names), 1 / (v + 1))
+        t = seat(customers, np.maximum(before - t, 0), base, Prior.d_root, Prior.theta_root, log_stirling(Prior.d_root), lambda rows, step: uniform(keys[rows], sweep, step))
+        if sweep > BURN_IN:
+            history = [*history, customers, t]
+    # tokens and words of the whole corpus are known here, so one bucket tells them
+    totals = np.array([n if bucket == 0 else 0, v if bucket == 0 else 0, customers.sum(), t.sum()], "<f8")
+    last = sweep == SWEEPS
+    kept = [*(_totals_of(state) if len(state) else []), totals] if sweep > BURN_IN else []
+    out = [message(bucket, ROOT, bucket, _ints(t), _rows_of(history), pack_sorted(names >> SIDE) if last else b"", np.concatenate(kept).tobytes() if kept else b"")]
+    starts = np.concatenate([[0], np.cumsum([len(k) for k in lists])]).astype(int)
+    asked = {int(s): name[a:b][m] for s, a, b, m in zip(shared["source"], starts, starts[1:], moves)}
+    none = np.zeros(0, np.int64)
+    if not last:
+        for b in range(buckets):
+            at = asked.get(b, none)
+            out.append(message(b, REPLY, bucket, _ints(customers[at]), _ints(t[at]), f=totals.tobytes()))
+    out += _hot_totals(fixed, got, bucket, buckets, sweep, parts, hot)
+    return out + [message(*r) for r in _pick(got, STATE)[NAMES].itertuples(index=False)]
+
+
+def _totals_of(state: pd.DataFrame) -> list[np.ndarray]:
+    return list(np.frombuffer(state["d"].iat[0], "<f8").reshape(-1, 4))
+
+
+def _hot_totals(fixed: pd.DataFrame, got: pd.DataFrame, bucket: int, buckets: int, sweep: int, parts: np.ndarray, hot: np.ndarray) -> list[tuple]:
+    """Tables of this bucket's hot contexts, to the buckets of their parts; the
+    kept sweeps' are remembered here."""
+    sums: dict[int, int] = {}
+    for rows in (_pick(fixed, HOT), _pick(got, HOT)):
+        for key, n in zip(rows["a"], rows["b"]):
+            u = int(np.searchsorted(hot, np.frombuffer(key, np.uint64)[0]))
+            sums[u] = sums.get(u, 0) + int(np.frombuffer(n, np.int64)[0])
+    past = {k: v for k, v in zip(_pick(got, TOP)["a"], _pick(got, TOP)["b"])}
+    out = []
+    for u, n in sorted(sums.items()):
+        key, n = hot[u : u + 1].tobytes(), np.int64(n).tobytes()
+        if sweep > BURN_IN:
+            out.append(message(bucket, TOP, bucket, key, past.get(key, b"") + n))
+        if sweep < SWEEPS:
+            out += [message(int(b), HOT, bucket, key, n) for b in np.unique(bucket_of(parts[u], buckets))]
+    return out
+
+
+def _answers(m: Merged, end: pd.DataFrame, bucket: int, shards: int) -> list[tuple]:
+    """What the shards asked for: counts and tables of pairs, contexts and words."""
+    state, root, top = _pick(end, STATE), _pick(end, ROOT), _pick(end, TOP)
+    changing = m.c > 1
+    extra = np.zeros(len(m.c), np.int64)
+    singles = np.bincount(m.home[m.c == 1], minlength=len(m.restaurants))
+    whole = [singles.copy() for _ in range(SAMPLES)]
+    if changing.any():
+        extra[changing] = _uints(state["b"].iat[0])
+        rooms = np.unique(m.home[changing])
+        for have, tables in zip(whole, _lists_of(state["c"].iat[0], SAMPLES)):
+            have[rooms] = tables
+    names = unpack_sorted(root["c"].iat[0]) << SIDE
+    lists = _lists_of(root["b"].iat[0], 2 * SAMPLES)
+    lists = [np.append(x, 0) for x in lists]
+    at = np.searchsorted(names, (m.words >> SIDE) << SIDE)
+    at = np.where(np.append(names, 0)[at] == (m.words >> SIDE) << SIDE, at, len(names))
+    at[m.word_counts == 0] = len(names)  # a word that is not of the vocabulary has no table
+    warm, tables = b"".join(top["a"]), b"".join(top["b"])
+    top = {s: (_ints(np.zeros(0)),) * 2 for s in range(shards)}
     start = 0
-    for shard, k in zip(sent["shard"], keys):
-        mine = word[start : start + len(k)]
+    for source, k in zip(m.sources, m.lists):
+        mine = m.word[start : start + len(k)]
         start += len(k)
-        answers[int(shard)] = (_ints(c[mine]), _ints(seats[mine]), _ints(t[mine]))
-    return [(bucket, s, ROOT, totals, hot_keys, hot_tables, *x, b"") for s, x in answers.items()]
+        top[source] = (_ints(m.word_counts[mine]), _rows_of([x[at[mine]] for x in lists]))
+    out = [message(s, TOP, bucket, warm, tables, *x, e=root["d"].iat[0]) for s, x in top.items()]
+    start = 0
+    for source, ctx, size in zip(m.sources, m.contexts, m.sizes):
+        mine = m.pair[start : start + size.sum()]
+        start += len(mine)
+        room = np.searchsorted(m.restaurants, ctx)
+        out.append(message(source, SEATED, bucket, _rows_of([x[room] for x in whole]), _ints(m.c[mine]), _ints(extra[mine])))
+    return out
+
+
+def _probabilities(s: Shard, answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each token: training count, additive base and averaged predictive, in log10."""
+    p, top, mid = Prior, _pick(answers, TOP), _pick(answers, SEATED)
+    totals = np.sum([np.frombuffer(e, "<f8").reshape(SAMPLES, 4) for e in top["e"]], axis=0)
+    tokens, vocabulary = totals[0, :2]
+    c = _join([_uints(x) for x in top["c"]], np.int64).astype(np.float64)
+    across = lambda parts, n: np.concatenate([np.stack(_lists_of(x, n)) if x else np.zeros((n, 0)) for x in parts], axis=1)
+    root = across(top["d"], 2 * SAMPLES).astype(np.float64)
+    single = np.stack([_root_value(root[2 * i], root[2 * i + 1], totals[i]) for i in range(SAMPLES)])
+    pair_c = _join([_uints(x) for x in mid["b"]], np.int64).astype(np.float64)
+    pair_t = _join([_uints(x) for x in mid["c"]], np.int64) / SAMPLES + (pair_c > 0)
+    context_t = across(mid["a"], SAMPLES).astype(np.float64)
+    hot_keys = np.frombuffer(b"".join(top["a"]), np.uint64)
+    hot_tables = np.frombuffer(b"".join(top["b"]), np.int64).reshape(-1, SAMPLES)
+    order = np.argsort(hot_keys)
+    hot_keys = np.append(hot_keys[order], np.uint64(2**64 - 1))
+    hot_tables = np.concatenate([hot_tables[order], np.zeros((1, SAMPLES), np.int64)])
+    at = np.searchsorted(hot_keys, s.before_key)
+    known = hot_keys[at] == s.before_key
+    customers = c[s.before]
+    given = (pair_c - p.d * pair_t)[s.pair]
+    alone = np.zeros(len(s.word))
+    for i in range(SAMPLES):
+        tables = np.where(s.hot, np.where(known, hot_tables[at, i], 0), context_t[i][s.context])
+        one = single[i][s.word]
+        given += (p.theta + p.d * tables) * one / SAMPLES
+        alone += one / SAMPLES
+    logs = np.log10(np.where(customers > 0, given / (p.theta + customers), alone))
+    base = np.log10((c + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
+    return c[s.word], base[s.word], logs, int(tokens)
+
+
+def _packed_documents(rows: DataFrame, shards: int) -> DataFrame:
+    """Documents as compressed blocks, dealt to shards by a hash of id and text."""
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(shards)).cast("int"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            out = []
+            for shard, part in batch.groupby("shard"):
+                texts = [t.encode("utf-8", "surrogatepass") for t in part["text"]]
+                flags = part["held_out"].to_numpy(bool).astype(np.uint8) | part["no_id"].to_numpy(bool).astype(np.uint8) << 1
+                out.append((shard, part["doc_id"].to_numpy(np.int64).tobytes(), flags.tobytes(), np.array([len(t) for t in texts], "<u4").tobytes(), press(b"".join(texts))))
+            yield pd.DataFrame(out, columns=["shard", "ids", "flags", "sizes", "texts"])
+
+    return dealt.select("shard", "doc_id", "no_id", "held_out", "text").mapInPandas(run, "shard int, ids binary, flags binary, sizes binary, texts binary")
+
+
+def _unpacked(blocks: pd.DataFrame) -> tuple[pd.DataFrame, list[str]]:
+    """Ids, flags and texts of a shard's blocks, in an order of their own."""
+    flags = np.frombuffer(b"".join(blocks["flags"]), np.uint8)
+    ids = np.frombuffer(b"".join(blocks["ids"]), np.int64)
+    texts = []
+    for sizes, data in zip(blocks["sizes"], blocks["texts"]):
+        data, ends = zstandard.ZstdDecompressor().decompress(data), np.cumsum(np.frombuffer(sizes, "<u4").astype(np.int64))
+        texts += [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+    return pd.DataFrame({"doc_id": ids, "no_id": flags >> 1 > 0, "held_out": flags & 1 > 0}), texts
 
 
 def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> DataFrame:
@@ -282,81 +508,76 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
     token, the end); a null id counts as the empty text for the fold;
     repeated rows count and score each; an empty table gives no rows; with
     no training rows every probability is the base. Other columns are
-    ignored. Words are told apart by 64-bit fingerprints, dishes by the upper
-    40 bits of them (a few words in millions share a dish; counts do not).
+    ignored. ``shards`` is layout alone: scores do not depend on it. Words are
+    told apart by 64-bit fingerprints, dishes by the upper 40 bits of them (a
+    few words in millions share a dish; counts do not).
     """
     rows = documents(docs, id_col, text_col).withColumn("held_out", crc_mod(own_id(), folds) == 0)
     n = shards or 2 * partitions(rows.sparkSession)
     buckets = shards or partitions(rows.sparkSession)
     hot = hot_contexts(rows)
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(n)).cast("int"))
+    parts = part_names(hot)
+    dealt = _packed_documents(rows, n)
 
-    def send(batch: pd.DataFrame) -> pd.DataFrame:
-        s, number = Shard(batch, hot), int(batch["shard"].iloc[0])
+    def send(blocks: pd.DataFrame) -> pd.DataFrame:
+        about, texts = _unpacked(blocks)
+        s, number = Shard(texts, about["held_out"].to_numpy(), hot), int(blocks["shard"].iloc[0])
         home = (s.pairs >> np.uint64(32)).astype(np.int64)
         sizes = np.bincount(home, minlength=len(s.contexts))
         first = np.concatenate([[0], np.cumsum(sizes)])
-        dish = s.words[(s.pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+        dish = s.words[(s.pairs & LOW32).astype(np.int64)]
         words, ctx = cut_by_bucket(s.words, buckets), cut_by_bucket(s.contexts, buckets)
         out = []
         for b in range(buckets):
             w, v, lo, hi = words[b], words[b + 1], ctx[b], ctx[b + 1]
-            if v > w or hi > lo:
-                a, z = first[lo], first[hi]
-                pairs = (pack_sorted(s.contexts[lo:hi]), _ints(sizes[lo:hi]), _dishes(dish[a:z]), _ints(s.pair_counts[a:z]), b"")
-                out.append((b, number, SENT, *pairs, pack_sorted(s.words[w:v]), _ints(s.word_counts[w:v])))
-        return pd.DataFrame(out, columns=NAMES)
-
-    def contexts(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values("shard")
-        out = pd.DataFrame(_seat_pairs(batch, int(batch["bucket"].iloc[0]), buckets, hot), columns=NAMES)
-        return pd.concat([batch.assign(kind=WORDS, keys=b"", sizes=b"", dishes=b"", counts=b""), out])
-
-    def root(batch: pd.DataFrame) -> pd.DataFrame:
-        out = _seat_root(batch, int(batch["bucket"].iloc[0]), buckets, n)
-        return pd.concat([batch[batch["kind"] == SEATED], pd.DataFrame(out, columns=NAMES)])
-
-    def finish(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+            a, z = first[lo], first[hi]
+            pairs = (pack_sorted(s.contexts[lo:hi]), _ints(sizes[lo:hi]), _dishes(dish[a:z]), _ints(s.pair_counts[a:z]))
+            out.append(message(b, SENT, number, *pairs, pack_sorted(s.words[w:v]), _ints(s.word_counts[w:v])))
+        return _frame(out)
+
+    def layout(batch: pd.DataFrame) -> pd.DataFrame:
+        return _frame(_layout(Merged(_pick(batch, SENT)), int(batch["to"].iloc[0]), buckets, parts, hot))
+
+    def begin(fixed: pd.DataFrame) -> pd.DataFrame:
+        return _frame(_sweep_contexts(fixed, None, int(fixed["to"].iloc[0]), buckets, 0, parts, hot))
+
+    def contexts(sweep: int):
+        def run(fixed: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+            keep = got[got["kind"].isin([ROOT, TOP])]
+            return pd.concat([keep, _frame(_sweep_contexts(fixed, got, int(got["to"].iloc[0]), buckets, sweep, parts, hot))])
+
+        return run
+
+    def roots(sweep: int):
+        def run(fixed: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+            return _frame(_sweep_root(fixed, got, int(got["to"].iloc[0]), buckets, sweep, parts, hot))
+
+        return run
+
+    def answer(batch: pd.DataFrame, end: pd.DataFrame) -> pd.DataFrame:
+        return _frame(_answers(Merged(_pick(batch, SENT)), end, int(batch["to"].iloc[0]), n))
+
+    def finish(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         names = ["doc_id", "no_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
-        if not len(batch):
+        if not len(blocks):
             return pd.DataFrame(columns=names)
-        s = Shard(batch, hot)
-        top = answers[answers["kind"] == ROOT].sort_values("bucket")
-        totals = np.sum([np.frombuffer(k) for k in top["keys"]], axis=0)
-        tokens, vocabulary, customers, tables = totals
-        gather = lambda rows, field: np.concatenate([_uints(x) for x in rows[field]]).astype(np.float64)
-        c, p = gather(top, "counts"), Prior
-        value = gather(top, "tables") - p.d_root * gather(top, "words") / SAMPLES
-        back = (p.theta_root + p.d_root * tables) / (p.theta_root + customers) / (vocabulary + 1)
-        single = value / (p.theta_root + customers) + back
-        mid = answers[answers["kind"] == SEATED].sort_values("bucket")
-        pair_c = gather(mid, "counts")
-        pair_t = gather(mid, "tables") / SAMPLES + (pair_c > 0)
-        context_t = gather(mid, "sizes") / SAMPLES
-        hot_keys = np.frombuffer(b"".join(top["sizes"]), np.uint64)
-        hot_tables = np.frombuffer(b"".join(top["dishes"]), np.int64) / SAMPLES
-        order = np.argsort(hot_keys)
-        hot_keys, hot_tables = np.append(hot_keys[order], np.uint64(2**64 - 1)), np.append(hot_tables[order], 0.0)
-        at = np.searchsorted(hot_keys, s.before_key)
-        split_t = np.where(hot_keys[at] == s.before_key, hot_tables[at], 0.0)
-        customers_u = c[s.before]
-        tables_u = np.where(s.hot, split_t, context_t[s.context])
-        own = (pair_c - p.d * pair_t)[s.pair]
-        given = (own + (p.theta + p.d * tables_u) * single[s.word]) / (p.theta + customers_u)
-        logs = np.log10(np.where(customers_u > 0, given, single[s.word]))
-        base = np.log10((c + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
+        about, texts = _unpacked(blocks)
+        s = Shard(texts, about["held_out"].to_numpy(), hot)
+        c, base, logs, tokens = _probabilities(s, answers)
         start = np.concatenate([[0], np.cumsum(s.sizes)[:-1]])
         score = np.add.reduceat(logs, start)
-        return pd.DataFrame(
-            {
-                "doc_id": batch["doc_id"], "no_id": batch["no_id"], "held_out": batch["held_out"], "n_tokens": s.sizes,
-                "n_known": np.add.reduceat((c > 0)[s.word].astype(np.int64), start), "train_tokens": int(tokens),
-                "base_score": np.add.reduceat(base[s.word], start), "score": score, "perplexity": 10 ** (-score / s.sizes),
-            }
+        return about.assign(
+            n_tokens=s.sizes, n_known=np.add.reduceat((c > 0).astype(np.int64), start), train_tokens=tokens,
+            base_score=np.add.reduceat(base, start), score=score, perplexity=10 ** (-score / s.sizes),
         )
 
     sent = dealt.groupBy("shard").applyInPandas(send, FIELDS)
-    seated = sent.groupBy("bucket").applyInPandas(contexts, FIELDS)
-    answers = seated.groupBy("bucket").applyInPandas(root, FIELDS)
+    fixed = sent.groupBy("to").applyInPandas(layout, FIELDS)
+    state = fixed.groupBy("to").applyInPandas(begin, FIELDS)
+    for sweep in range(SWEEPS + 1):
+        if sweep:
+            state = fixed.groupBy("to").cogroup(state.groupBy("to")).applyInPandas(contexts(sweep), FIELDS)
+        state = fixed.groupBy("to").cogroup(state.groupBy("to")).applyInPandas(roots(sweep), FIELDS)
+    answers = sent.groupBy("to").cogroup(state.groupBy("to")).applyInPandas(answer, FIELDS)
     schema = f"{IDS}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
-    return own_ids(dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(finish, schema))
+    return own_ids(dealt.groupBy("shard").cogroup(answers.groupBy("to")).applyInPandas(finish, schema))
