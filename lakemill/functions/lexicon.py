@@ -35,7 +35,7 @@ def lexicon_features(df: DataFrame, lexicon: DataFrame, key: str = "review_id",
     """Append every lexicon feature to ``df`` (one row per ``key``).
 
     Tokens without an entry count only as tokens. Rows whose text is NULL or
-    has no token get zeros and 'neutral'.
+    has no token get zeros and 'neutral'; columns of ``df`` stay as they are.
     """
     small = lexicon.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
     token = df.select(key, F.explode(tokens(F.coalesce(F.col(text_col), F.lit("")))).alias("term"))
@@ -50,7 +50,8 @@ def lexicon_features(df: DataFrame, lexicon: DataFrame, key: str = "review_id",
         *[count(f"hit_{e}").alias(f"{e}_count") for e in EMOTIONS], count("hit_positive").alias("positive_count"), count("hit_negative").alias("negative_count"),
         *[F.sum(f"int_{e}").alias(f"__s_int_{e}") for e in EMOTIONS],
     )
-    return label_emotions(df.join(shape(per), key, "left").fillna(0))
+    found = shape(per)
+    return label_emotions(df.join(found, key, "left").fillna(0, [c for c in found.columns if c != key]))
 
 
 def shape(per: DataFrame) -> DataFrame:

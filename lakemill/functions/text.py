@@ -9,10 +9,10 @@ from lakemill.functions.labels import round4
 
 # Words that negate.
 NEGATIONS = (
-    "not no never none nobody nothing neither nowhere cannot cant can't won't wont isn't isnt wasn't wasnt aren't arent "
-    "weren't werent doesn't doesnt didn't didnt don't dont hasn't hasnt haven't havent hadn't hadnt shouldn't shouldnt "
-    "wouldn't wouldnt couldn't couldnt n't"
-).split()
+    "not", "no", "never", "none", "nobody", "nothing", "neither", "nowhere", "cannot", "cant", "can't", "won't", "wont", "isn't", "isnt",
+    "wasn't", "wasnt", "aren't", "arent", "weren't", "werent", "doesn't", "doesnt", "didn't", "didnt", "don't", "dont", "hasn't", "hasnt",
+    "haven't", "havent", "hadn't", "hadnt", "shouldn't", "shouldnt", "wouldn't", "wouldnt", "couldn't", "couldnt", "n't",
+)
 LINGUISTIC = (
     "stripped_review", "word_count", "char_count", "avg_word_len", "avg_sentence_len", "num_excl", "num_ques", "num_caps", "num_at",
     "num_hash", "sentence_count", "negation_count",
@@ -76,7 +76,7 @@ def linguistic(df: DataFrame, text_col: str = "raw_review") -> DataFrame:
         {
             "word_count": F.size(w).cast("long"),
             "num_caps": F.size(F.filter("__capitals", upper)).cast("long"),
-            "negation_count": F.size(F.filter("__tokens", lambda x: x.isin(NEGATIONS))).cast("long"),
+            "negation_count": F.size(F.filter("__tokens", lambda x: x.isin(*NEGATIONS))).cast("long"),
             "__letters": F.length(F.array_join(w, "")).cast("double"),
             "__kinds": F.size(F.array_distinct(w)).cast("double"),
         }

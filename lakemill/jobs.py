@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from lakemill.functions.features import apply_features, resolve_groups
 from lakemill.functions.lexicon import combine
 from lakemill.operators import gold, serving, silver, validate
+from lakemill.operators.common import require_columns
 from lakemill.operators.filters import ReviewFilter, apply_filter
 from lakemill.operators.materialize import MODES, Kept
 from lakemill.sources import bronze, lexicons, sinks
@@ -69,10 +70,11 @@ def run_silver(
             validate.validate_bronze(df, name, data.key, allow_empty=not data.unique)
             sinks.write(df, join_path(target, f"bronze_{name}"), "parquet")
             scoped[name] = spark.read.parquet(join_path(target, f"bronze_{name}"))
-        joined = silver.build_silver(scoped["review"], scoped["business"], scoped["user"])
+        joined = silver.build_silver(scoped["review"], scoped["business"], scoped["user"], unique=validate.UNIQUE_DATASETS)  # as just checked
         lexicon = combine(*lexicons.load_all(spark, lexicon_paths)) if lexicon_paths else combine(spark.createDataFrame([], "term string"))
         out = kept.keep(apply_features(joined, lexicon, chosen), "silver")
-        validate.validate_parity_of_rows(out, scoped["review"])
+        require_columns(out, silver.SILVER, "Silver")
+        metrics["parity"] = validate.validate_parity_of_rows(out, scoped["review"])
         if check_features:
             metrics["measures"] = validate.validate_silver(out)
         sinks.write(out, join_path(target, "silver"), "parquet")

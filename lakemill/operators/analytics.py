@@ -15,9 +15,10 @@ from lakemill.operators.validate import safe_corr
 
 # Words left out of pain points.
 STOP_WORDS = (
-    "the and for that this with you have are but not was were they from your their has had our all too just then what when there which will been "
-    "into out about like theyre dont cant"
-).split()
+    "the", "and", "for", "that", "this", "with", "you", "have", "are", "but", "not", "was", "were", "they", "from", "your", "their", "has",
+    "had", "our", "all", "too", "just", "then", "what", "when", "there", "which", "will", "been", "into", "out", "about", "like", "theyre",
+    "dont", "cant",
+)
 # Columns averaged per place, and their names in the result.
 PLACE_MEANS = {
     "weighted_star": "business_weighted_star_avg", "word_count": "avg_review_length", "subjectivity_score": "avg_subjectivity", "negation_count": "negation_rate",
@@ -44,6 +45,18 @@ def place_profile(df: DataFrame) -> DataFrame:
     return df.where(known).groupBy(*PLACE_KEYS).agg(F.count("review_id").alias("review_count"), *spread, *means)
 
 
+def with_place_figures(df: DataFrame) -> DataFrame:
+    """Append each review's place's mean stars and number of reviews.
+
+    ``business_star_avg`` and ``place_reviews`` are NULL for a review without
+    a place. Reviews meet their place in the shuffle that counts it: a window
+    by place would gather a large place into one task, a join need not.
+    """
+    require_columns(df, {"business_id", "stars", "review_id"}, "place figures")
+    places = df.where(F.col("business_id").isNotNull()).groupBy("business_id")
+    return df.join(places.agg(F.avg("stars").alias("business_star_avg"), F.count("review_id").alias("place_reviews")), "business_id", "left")
+
+
 def union_datasets(parts: dict[str, DataFrame]) -> DataFrame:
     """Stack datasets by column name, each tagged."""
     tagged = [df.withColumn("dataset", F.lit(name)) for name, df in parts.items()]
@@ -88,7 +101,7 @@ def star_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
 def pain_points(df: DataFrame, text_col: str = "stripped_review", n: int = 20, below: float = 3.0) -> DataFrame:
     """Most frequent words of low-star reviews (three letters or more, no stop words)."""
     word = F.explode(F.regexp_extract_all(F.lower(text_col), F.lit("([\\p{L}\\p{N}_]+)"), 1)).alias("word")
-    plain = F.col("word").rlike("^[a-z]{3,}$") & ~F.col("word").isin(STOP_WORDS)
+    plain = F.col("word").rlike("^[a-z]{3,}$") & ~F.col("word").isin(*STOP_WORDS)
     counts = df.where(F.col("stars") < below).select(word).where(plain).groupBy("word").agg(F.count("*").alias("frequency"))
     return counts.orderBy(F.desc("frequency"), "word").limit(n)
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lakemill.functions.labels import contains_any, sentiment_label
 from lakemill.operators.common import require_columns
 from lakemill.operators.filters import EMOTION_COLUMNS, SENTIMENT_COLUMNS
+from lakemill.operators.measures import Grouping, grouped, present
 from lakemill.operators.silver import sample_by_hash
 
 # Metrics that are averaged where the input has them.
@@ -23,6 +24,11 @@ METRICS = (
     "stars", "weighted_star", "vader_sentiment_score", "Valence_avg", "Arousal_avg", "Dominance_avg", "word_count", "subjectivity_score",
     "anger_int_avg", "fear_int_avg", "joy_int_avg", "sadness_int_avg",
 )
+# What describes a place, by result name: source column and type.
+PLACE = {
+    "business_name": ("name", None), "city": ("city", None), "state": ("state", None), "latitude": ("latitude", "double"), "longitude": ("longitude", "double"),
+    "primary_industry": ("primary_industry", None),
+}
 # Periods of the date grain.
 PERIODS = ("day", "week", "month", "quarter", "year")
 
@@ -36,7 +42,7 @@ class Grain:
     value: Column
     null_keys: bool = False
     drop_blank: bool = False
-    dimensions: dict[str, str] = field(default_factory=dict)
+    dimensions: dict[str, tuple[str, str | None]] = field(default_factory=dict)
     means: dict[str, str] = field(default_factory=dict)
 
 
@@ -50,9 +56,9 @@ def grain(level: str, period: str = "month", emotion_column: str = "dominant_emo
     made = {
         "business": lambda: Grain(
             {"business_id": c("business_id")}, ("business_id",), c("business_id"), null_keys=True,
-            dimensions={"business_name": "name", "city": "city", "state": "state", "latitude": "latitude", "longitude": "longitude", "primary_industry": "primary_industry"},
+            dimensions=PLACE,
         ),
-        "user": lambda: Grain({"user_id": c("user_id")}, ("user_id",), c("user_id"), null_keys=True, dimensions={"user_name": "user_name"}),
+        "user": lambda: Grain({"user_id": c("user_id")}, ("user_id",), c("user_id"), null_keys=True, dimensions={"user_name": ("user_name", None)}),
         "date": lambda: Grain({"date_period": F.date_trunc(period, F.to_timestamp("review_date"))}, ("review_date",), c("date_period").cast("string")),
         "industry": lambda: Grain({"primary_industry": c("primary_industry")}, ("primary_industry",), c("primary_industry")),
         "state": lambda: Grain({"state": state}, ("state",), c("state"), drop_blank=True),
@@ -74,15 +80,7 @@ GRAIN_KEYS = {
 }
 
 
-def metric_columns(df: DataFrame) -> list[Column]:
-    """Counts, low-star share (NULL stars count as not low) and present means."""
-    return [
-        F.count("review_id").alias("review_count"),
-        F.avg(F.when(F.col("stars") <= 2, 1.0).otherwise(0.0)).alias("low_star_rate"),
-        F.countDistinct("business_id").alias("unique_business_count"),
-        F.countDistinct("user_id").alias("unique_user_count"),
-        *[F.avg(m).alias(f"avg_{m}") for m in METRICS if m in df.columns],
-    ]
+DISTINCT = {"unique_business_count": "business_id", "unique_user_count": "user_id"}
 
 
 def aggregate(df: DataFrame, level: str, **options) -> DataFrame:
@@ -96,14 +94,8 @@ def aggregate(df: DataFrame, level: str, **options) -> DataFrame:
         if g.drop_blank:
             keyed = keyed.where(F.col(key) != "")
     known = reduce(Column.__and__, (F.col(k).isNotNull() for k in g.keys))
-    double = {"latitude", "longitude"}
-    first = [
-        F.min(F.when(known, F.col(source).cast("double") if source in double else F.col(source))).alias(name) if source in df.columns
-        else F.min(F.lit(None).cast("double" if source in double else "string")).alias(name)
-        for name, source in g.dimensions.items()
-    ]
-    means = [F.avg(s).alias(n) for n, s in g.means.items()] if set(g.means.values()) <= set(df.columns) else []
-    out = keyed.groupBy(*g.keys).agg(*metric_columns(df), *first, *means)
+    means = present(df, METRICS) | (g.means if set(g.means.values()) <= set(df.columns) else {})
+    out = grouped(keyed, Grouping(tuple(g.keys), means, g.dimensions, DISTINCT), known)
     return out.withColumns({"gold_variant_level": F.lit(level), "gold_variant_value": g.value})
 
 

@@ -2,38 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.functions.labels import attention_tier, recommended_focus, risk_score
 from lakemill.operators.common import require_columns
+from lakemill.operators.gold import PLACE
+from lakemill.operators.measures import Grouping, grouped
 
 ROW_LEVELS = ("sample", "brand-sample")
 
 
-def _mean(df: DataFrame, source: str, name: str) -> Column:
-    """Mean of a column, a NULL double where the table lacks it."""
-    return (F.avg(source) if source in df.columns else F.max(F.lit(None).cast("double"))).alias(name)
-
-
-def _least(df: DataFrame, source: str, name: str, kind: str = "string") -> Column:
-    return F.min(F.col(source).cast(kind) if source in df.columns else F.lit(None).cast(kind)).alias(name)
-
-
-def low_star_rate() -> Column:
-    return F.avg(F.when(F.col("stars") <= 2, 1.0).otherwise(0.0)).alias("low_star_rate")
+# Means of the serving tables, by result name.
+VARIANT_MEANS = {"avg_stars": "stars", "avg_sentiment": "vader_sentiment_score"}
+EMOTION_MEANS = {f"avg_{e}": f"{e}_int_avg" for e in ("anger", "fear", "sadness", "joy")}
+BUSINESSES = Grouping(
+    ("gold_variant_value", "business_id"), VARIANT_MEANS | {"avg_weighted_star": "weighted_star"} | EMOTION_MEANS,
+    {name: (source, kind or "string") for name, (source, kind) in PLACE.items()}, shim=True,
+)
+MONTHS = Grouping(("gold_variant_value", "year_month", "primary_industry"), VARIANT_MEANS, shim=True)
+VARIANTS = Grouping(("gold_variant_value",), VARIANT_MEANS, shim=True)
 
 
 def business_summary(gold: DataFrame) -> DataFrame:
     """Per variant and place: counts, means, risk score, tier and focus."""
-    base = gold.groupBy("gold_variant_value", "business_id").agg(
-        _least(gold, "name", "business_name"), _least(gold, "city", "city"), _least(gold, "state", "state"),
-        _least(gold, "latitude", "latitude", "double"), _least(gold, "longitude", "longitude", "double"),
-        _least(gold, "primary_industry", "primary_industry"),
-        F.count("review_id").alias("review_count"), F.avg("stars").alias("avg_stars"), low_star_rate(),
-        _mean(gold, "weighted_star", "avg_weighted_star"), _mean(gold, "vader_sentiment_score", "avg_sentiment"),
-        *[_mean(gold, f"{e}_int_avg", f"avg_{e}") for e in ("anger", "fear", "sadness", "joy")],
-    )
+    base = grouped(gold, BUSINESSES)
     c = F.col
     scored = base.withColumn("risk_score", risk_score(c("avg_stars"), c("low_star_rate"), c("avg_sentiment")))
     return scored.withColumns(
@@ -49,10 +42,7 @@ def monthly_summary(gold: DataFrame) -> DataFrame:
     month = F.date_format("review_date", "yyyy-MM")
     if "year_month" in gold.columns:
         month = F.coalesce("year_month", month)
-    keyed = gold.withColumn("year_month", month)
-    return keyed.groupBy("gold_variant_value", "year_month", "primary_industry").agg(
-        F.count("review_id").alias("review_count"), F.avg("stars").alias("avg_stars"), low_star_rate(), _mean(gold, "vader_sentiment_score", "avg_sentiment")
-    )
+    return grouped(gold.withColumn("year_month", month), MONTHS)
 
 
 def top_businesses(summary: DataFrame, n: int = 10_000) -> DataFrame:
@@ -85,7 +75,7 @@ def state_rollup(summary: DataFrame) -> DataFrame:
 
 
 def variant_summary(gold: DataFrame) -> DataFrame:
-    return gold.groupBy("gold_variant_value").agg(F.count("review_id").alias("review_count"), F.avg("stars").alias("avg_stars"), _mean(gold, "vader_sentiment_score", "avg_sentiment"))
+    return grouped(gold, VARIANTS).drop("low_star_rate")
 
 
 def rating_histogram(gold: DataFrame) -> DataFrame:

@@ -40,6 +40,21 @@ def key_profile(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def key_counts(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of each key (NULL is a key), as ``count``."""
+    return df.groupBy(*keys).count()
+
+
+def repeats(df: DataFrame, *keys: str) -> DataFrame:
+    """One row: whether any key repeats."""
+    return key_counts(df, *keys).where("count > 1").limit(1).agg((F.count("*") > 0).alias("repeats"))
+
+
+def extremes(c: str) -> tuple[Column, Column]:
+    """Least and greatest value of a column: a constant one has equal ones."""
+    return F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")
+
+
 def validate_bronze(df: DataFrame, name: str, key: str, allow_empty: bool = False) -> int:
     """Key present, rows present, no NULL keys, unique keys where they identify."""
     require_columns(df, {key}, f"Bronze {name}")
@@ -68,7 +83,7 @@ def silver_measures(df: DataFrame, text_col: str = "stripped_review", changing:
         same = F.col("weighted_star") == F.col("stars")
         out.append(F.avg(F.when(same, 1.0).otherwise(0.0)).alias("same_weighted_star"))
     numeric = [f.name for f in df.schema if isinstance(f.dataType, NumericType) and f.name in changing and f.name not in ("num_at", "num_hash")]
-    out += [(F.min(c).eqNullSafe(F.max(c))).alias(f"constant_{c}") for c in numeric]
+    out += [low.eqNullSafe(high).alias(f"constant_{c}") for c in numeric for low, high in [extremes(c)]]
     return df.agg(*out)
 
 
@@ -97,8 +112,7 @@ def validate_small(df: DataFrame, text_col: str = "stripped_review", most_rows:
 def validate_gold(df: DataFrame, level: str, size: int | None = None, brands: list[str] | None = None) -> dict:
     """Rows present, unique keys, sizes kept, every brand found."""
     keys = GRAIN_KEYS[level]
-    per = df.groupBy(*keys).count()
-    got = per.agg(F.sum("count").alias("n"), F.max("count").alias("most")).first()
+    got = key_counts(df, *keys).agg(F.sum("count").alias("n"), F.max("count").alias("most")).first()
     failures = [] if got.n else ["it has no rows"]
     if (got.most or 0) > 1:
         failures.append(f"keys {list(keys)} are not unique")
@@ -111,22 +125,22 @@ def validate_gold(df: DataFrame, level: str, size: int | None = None, brands: li
         if lost := sorted(set(brands or ()) - set(found)):
             failures.append(f"no reviews of {lost}")
     _fail(f"Gold {level}", failures)
-    return {"passed": True, "gold_level": level, "gold_rows": got.n, "keys": list(keys)}
+    return {"passed": True, "gold_level": level, "gold_rows": got.n, "most_rows_of_a_key": got.most, "keys": list(keys)}
 
 
-def validate_parity_of_rows(silver: DataFrame, bronze: DataFrame) -> int:
+def validate_parity_of_rows(silver: DataFrame, bronze: DataFrame) -> dict[str, int]:
     """Silver has as many rows as the Bronze reviews."""
-    a, b = silver.count(), bronze.count()
-    _fail("Silver", [] if a == b else [f"{a} rows, Bronze reviews have {b}"])
-    return a
+    got = {"silver_rows": silver.count(), "bronze_rows": bronze.count()}
+    _fail("Silver", [] if len(set(got.values())) == 1 else [f"{got['silver_rows']} rows, Bronze reviews have {got['bronze_rows']}"])
+    return got
 
 
 def validate_serving(summary: DataFrame, monthly: DataFrame) -> dict:
     """Serving tables are not empty and places are unique in a variant."""
-    got = summary.groupBy("gold_variant_value", "business_id").count().agg(F.count("*").alias("n"), F.max("count").alias("most")).first()
+    got = key_counts(summary, "gold_variant_value", "business_id").agg(F.count("*").alias("n"), F.sum("count").alias("places"), F.max("count").alias("most")).first()
     months = monthly.limit(1).count()
     _fail("serving tables", ["no places"] * (not got.n) + ["places repeat in a variant"] * ((got.most or 0) > 1) + ["no months"] * (not months))
-    return {"businesses": got.n}
+    return {"businesses": got.places, "keys": got.n}
 
 
 def compare_frames(a: DataFrame, b: DataFrame, key: str, columns: list[str], tolerance: float = 1e-6) -> DataFrame:
@@ -169,7 +183,7 @@ def assert_same(a: DataFrame, b: DataFrame, key: str, columns: list[str], tolera
 def degenerate_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Long table of columns that are all NULL or constant: column_name, problem."""
     names = columns or df.columns
-    got = df.agg(*[F.struct(F.count(c).alias("n"), (F.min(c) == F.max(c)).alias("same")).alias(c) for c in names])
+    got = df.agg(*[F.struct(F.count(c).alias("n"), (low == high).alias("same")).alias(c) for c in names for low, high in [extremes(c)]])
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`.n").alias("n"), F.col(f"`{c}`.same").alias("same")) for c in names]))
     problem = F.when(F.col("x.n") == 0, "all null").when(F.col("x.same"), "constant")
     return got.select(rows.alias("x")).select("x.column_name", problem.alias("problem")).where(F.col("problem").isNotNull())

@@ -63,9 +63,10 @@ def duck(sql: str) -> str:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lakemill.operators.silver import build_silver
+    from lakemill.operators.silver import KEYS, build_silver
 
-    return build_silver(reviews(spark, sf_dir), places(spark, sf_dir), users(spark, sf_dir))
+    # the adapted tables are keyed by primary keys; a12 and s8 make keys unique, v7 compares the rows
+    return build_silver(reviews(spark, sf_dir), places(spark, sf_dir), users(spark, sf_dir), unique=KEYS)
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:

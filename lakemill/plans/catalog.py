@@ -37,8 +37,11 @@ def add(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared checkpoint folder (a temporary one if unset)."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lakemill")
+    """A new folder in the shared checkpoint folder (on a local master a temporary one, if unset)."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root and not spark.sparkContext.isLocal():
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    root = root or tempfile.mkdtemp(prefix="lakemill")
     return join_path(root, f"{name}-{uuid.uuid4().hex}")
 
 
@@ -89,9 +92,10 @@ def _(spark, d):
 def _(spark, d):
     name = f"scan_{uuid.uuid4().hex}"
     sinks.save_table(table(spark, d, "region"), f"default.{name}")
-    out = spark.createDataFrame(spark.table(f"default.{name}").collect(), table(spark, d, "region").schema)  # five rows
+    at = scratch(spark, "scanned")
+    spark.table(f"default.{name}").write.parquet(at)
     spark.sql(f"DROP TABLE default.{name}")
-    return out
+    return spark.read.parquet(at)
 
 
 @add("s8_joined_scan", f"{S} SELECT review_id, stars, name, user_name FROM silver")
@@ -102,12 +106,16 @@ def _(spark, d):
     return bronze.read_joined(spark, f"{at}/r", f"{at}/p", f"{at}/u").select("review_id", "stars", "name", "user_name")
 
 
-@add("k5_audit_rows")
+@add(
+    "k5_audit_rows",
+    """SELECT 'ingest' AS task, 'succeeded' AS outcome, '{"rows": ' || count(*) || '}' AS metrics_json, true AS stamped FROM region """
+    """UNION ALL SELECT 'gold', 'failed', '{"error": null}', true""",
+)
 def _(spark, d):
     at = scratch(spark, "audit")
     sinks.append_audit(spark, at, "ingest", "succeeded", {"rows": table(spark, d, "region").count()})
     sinks.append_audit(spark, at, "gold", "failed", {"error": None})
-    return spark.read.parquet(at)
+    return spark.read.parquet(at).select("task", "outcome", "metrics_json", F.to_timestamp("recorded_at_utc").isNotNull().alias("stamped"))
 
 
 # ------------------------------------------------------------ silver relations
@@ -136,12 +144,13 @@ def _(spark, d):
 
 @add("a12_unique_lines", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
 def _(spark, d):
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").dropDuplicates(["l_orderkey", "l_linenumber"])
+    keys = ("l_orderkey", "l_linenumber")
+    return silver.one_per_key(table(spark, d, "lineitem").select(*keys, "l_partkey", "l_quantity"), *keys).select(*keys)
 
 
 @add("a13_distinct_keys", f"{S} SELECT DISTINCT business_id FROM silver WHERE business_id IS NOT NULL")
 def _(spark, d):
-    return silver_table(spark, d).where("business_id IS NOT NULL").select("business_id").distinct()
+    return silver.distinct_keys(silver_table(spark, d), "business_id")
 
 
 MD5 = "md5('42:' || review_id)"
@@ -183,7 +192,7 @@ FILTERS: dict[str, tuple[dict, str]] = {
         {"industries": ["brass", " Brand#1"]},
         " OR ".join(f"contains({LOW.format(c)}, '{v}')" for c in ("primary_industry", "secondary_industry", "tertiary_industry") for v in ("brass", "brand#1")),
     ),
-    "f5_cities": ({"cities": ["france", "CHINA"]}, "lower(city) IN ('france', 'china')"),
+    "f5_cities": ({"cities": ["nation_3", "NATION_7"]}, "lower(city) IN ('nation_3', 'nation_7')"),
     "f6_states": ({"states": ["asia"]}, "upper(state) IN ('ASIA')"),
     "f7_dates": ({"start_date": "1996-01-01", "end_date": "1997-06-30"}, "review_date >= DATE '1996-01-01' AND review_date <= DATE '1997-06-30'"),
     "f8_sentiment_labels": ({"sentiment_labels": ["positive", "neutral"]}, f"{VADER} IN ('positive', 'neutral')"),
@@ -204,12 +213,12 @@ for _name, (_options, _where) in FILTERS.items():
 
 @add("f14_non_null_keys", f"{S} SELECT review_id FROM silver WHERE business_id IS NOT NULL")
 def _(spark, d):
-    return silver_table(spark, d).where("business_id IS NOT NULL").select("review_id")
+    return silver.known_keys(silver_table(spark, d), "business_id").select("review_id")
 
 
-@add("f16_priority_filter", f"{S} SELECT review_id, city FROM silver WHERE lower(trim(city)) = 'germany' AND lower(trim(state)) = 'europe'")
+@add("f16_priority_filter", f"{S} SELECT review_id, city FROM silver WHERE lower(trim(city)) = 'nation_3' AND lower(trim(state)) = 'europe'")
 def _(spark, d):
-    return filters.priority_filter(silver_table(spark, d), city="Germany", state=" EUROPE")[0].select("review_id", "city")
+    return filters.priority_filter(silver_table(spark, d), city="Nation_3", state=" EUROPE")[0].select("review_id", "city")
 
 
 # ----------------------------------------------------------------------- gold
@@ -450,7 +459,26 @@ def _(spark, d):
     return features.with_decay(silver_table(spark, d)).select("review_id", "weighted_star")
 
 
-@add("t9_t13_t15_native_scorers")
+# Java takes letters of any script for word characters at \\b, RE2 only ASCII: others become '_'.
+_BOUND = "regexp_replace({}, '[^\\x00-\\x7F\\pP\\pS\\pZ\\pC\\pM]', '_', 'g')"
+
+
+def _found(pattern: str, text_sql: str) -> str:
+    return f"len(regexp_extract_all({_BOUND.format(text_sql)}, '{pattern}'))"
+
+
+_NATIVE = {"vader_sentiment_score": "gap / sqrt(gap * gap + 15)", "vader_pos": "positive_count / n", "vader_neg": "negative_count / n", "vader_neu": "greatest(0.0e0, (n - positive_count - negative_count) / n)"}
+_GRAMMAR = dict(zip(scorers.SuffixGrammar.columns, (_found(f"\\b[a-z]+{e}\\b", "lower(t)") for e in scorers.SuffixGrammar.endings)))
+_GRAMMAR["subjectivity_score"] = f"({_GRAMMAR['adj_pct']} + {_GRAMMAR['adv_pct']})"
+NATIVE_SELECT = (
+    ", native AS (SELECT review_id, " + ", ".join([f"{_round4('(' + e + ')')} AS {x}" for x, e in _NATIVE.items()])
+    + ", " + ", ".join(f"CAST({_found(p, 't')} AS BIGINT) AS {x}" for x, p in zip(scorers.RuleEntities.columns, scorers.RuleEntities.patterns))
+    + ", " + ", ".join(f"{_round4('(' + e + ' / n)')} AS {x}" for x, e in _GRAMMAR.items())
+    + " FROM (SELECT review_id, t, greatest(len(ws), 1)::DOUBLE AS n, positive_count, negative_count, (positive_count - negative_count)::DOUBLE AS gap FROM shaped JOIN w USING (review_id)))"
+)
+
+
+@add("t9_t13_t15_native_scorers", LEXICON_SQL + NATIVE_SELECT + " SELECT * FROM native")
 def _(spark, d):
     docs = documents_as_reviews(spark, d).withColumns({"stripped_review": text.clean(F.col("raw_review")), "stars": F.lit(3.0)})
     base = lexicon.lexicon_features(docs, synthetic_lexicon(spark, d))
@@ -458,10 +486,27 @@ def _(spark, d):
     return out.select("review_id", *scorers.LexiconSentiment.columns, *scorers.RuleEntities.columns, *scorers.SuffixGrammar.columns)
 
 
-@add("p5_p6_all_features")
+DATED_DOCS = (
+    "SELECT CAST(doc_id AS VARCHAR) AS review_id, text AS raw_review, CASE WHEN doc_id % 7 = 3 THEN NULL ELSE CAST(doc_id % 5 + 1 AS DOUBLE) END AS stars, "
+    "CASE WHEN doc_id % 11 = 4 THEN NULL ELSE CAST(doc_id % 3 AS BIGINT) END AS useful, DATE '2020-01-01' + CAST(doc_id % 700 AS INTEGER) AS review_date FROM documents"
+)
+ALL_SQL = (
+    f"WITH base AS ({DATED_DOCS}), ling AS ({LINGUISTIC_SQL}), lexi AS ({LEXICON_SQL + LEXICON_SELECT}), nat AS ({LEXICON_SQL + NATIVE_SELECT} SELECT * FROM native) "
+    "SELECT base.*, ling.* EXCLUDE (review_id), lexi.* EXCLUDE (review_id), nat.* EXCLUDE (review_id), "
+    + _round4("(stars * pow(0.998e0, date_diff('day', review_date, (SELECT max(review_date) FROM base))))")
+    + " AS weighted_star FROM base JOIN ling USING (review_id) JOIN lexi USING (review_id) JOIN nat USING (review_id)"
+)
+
+
+@add("p5_p6_all_features", ALL_SQL)
 def _(spark, d):
+    """All default columns; stars and useful of the input are NULL here and there and stay so."""
+    k = F.col("review_id").cast("long")
     docs = documents_as_reviews(spark, d).withColumns(
-        {"stars": (F.col("review_id").cast("long") % 5 + 1).cast("double"), "review_date": F.date_add(F.lit("2020-01-01").cast("date"), (F.col("review_id").cast("long") % 700).cast("int"))}
+        {
+            "stars": F.when(k % 7 != 3, (k % 5 + 1).cast("double")), "useful": F.when(k % 11 != 4, k % 3),
+            "review_date": F.date_add(F.lit("2020-01-01").cast("date"), (k % 700).cast("int")),
+        }
     )
     return features.apply_features(docs, synthetic_lexicon(spark, d))
 
@@ -491,13 +536,14 @@ def _(spark, d):
 
 @add("v6_gold_keys", f"{FT} SELECT count(*) AS n, CAST(1 AS BIGINT) AS most FROM (SELECT DISTINCT upper(trim(state)) AS state FROM featured WHERE trim(state) <> '')")
 def _(spark, d):
-    return gold.aggregate(featured(spark, d), "state").groupBy("state").count().agg(F.count("*").alias("n"), F.max("count").alias("most"))
+    got = validate.validate_gold(gold.aggregate(featured(spark, d), "state"), "state")
+    return spark.createDataFrame([(got["gold_rows"], got["most_rows_of_a_key"])], "n long, most long")
 
 
 @add("v7_row_parity", f"{S} SELECT (SELECT count(*) FROM silver) AS silver_rows, (SELECT count(*) FROM orders) AS bronze_rows")
 def _(spark, d):
-    a = silver_table(spark, d).agg(F.count("*").alias("silver_rows"))
-    return a.crossJoin(table(spark, d, "orders").agg(F.count("*").alias("bronze_rows")))
+    got = validate.validate_parity_of_rows(silver_table(spark, d), reviews(spark, d))
+    return spark.createDataFrame([tuple(got.values())], "silver_rows long, bronze_rows long")
 
 
 @add(

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.functions import features, labels, lexicon, text
-from lakemill.operators import gold, materialize, serving, silver, validate
+from lakemill.operators import analytics, gold, materialize, measures, serving, silver, validate
 from lakemill.plans import catalog as c
 from lakemill.plans.adapters import featured, places, silver as silver_table, table
 from lakemill.sources import bronze, lexicons, names, sinks
@@ -30,23 +30,16 @@ def _(spark, d):
     return silver_table(spark, d).groupBy("year_month").agg(F.count("*").alias("n"))
 
 
-@add("p4_p6_owned_columns", "SELECT CAST(doc_id AS VARCHAR) AS review_id, text AS raw_review, 0.0::DOUBLE AS vader_pos FROM documents WHERE doc_id < 0")
-def _(spark, d):
-    """Owned columns of the input are replaced, not kept."""
-    docs = c.documents_as_reviews(spark, d).withColumn("vader_pos", F.lit("old"))
-    return features.apply_features(docs, c.synthetic_lexicon(spark, d), ["vader"]).select("review_id", "raw_review", "vader_pos").where("review_id < 0")
-
-
 _SHARE = c._round4("(positive_count::DOUBLE / greatest(len(ws), 1))")
 
 
 @add(
-    "p4_p6_owned_columns_whole",
+    "p4_p6_owned_columns",
     f"{c.LEXICON_SQL} SELECT s.review_id, d.text AS raw_review, {_SHARE} AS vader_pos "
     "FROM shaped s JOIN w USING (review_id) JOIN documents d ON CAST(d.doc_id AS VARCHAR) = s.review_id",
 )
 def _(spark, d):
-    """The same for every document, so that the replaced values are compared."""
+    """Owned columns of the input are replaced, not kept: every document."""
     docs = c.documents_as_reviews(spark, d).withColumn("vader_pos", F.lit("old"))
     return features.apply_features(docs, c.synthetic_lexicon(spark, d), ["vader"]).select("review_id", "raw_review", "vader_pos")
 
@@ -124,21 +117,19 @@ def _(spark, d):
 
 @add("j6_n1_reviews_with_place_profile", f"{FT}, p AS (SELECT business_id, avg(stars) AS business_star_avg, count(review_id) AS place_reviews FROM featured WHERE business_id IS NOT NULL GROUP BY 1) SELECT review_id, stars, business_star_avg, place_reviews FROM featured LEFT JOIN p USING (business_id)")
 def _(spark, d):
-    f = featured(spark, d)
-    per = f.where("business_id IS NOT NULL").groupBy("business_id").agg(F.avg("stars").alias("business_star_avg"), F.count("review_id").alias("place_reviews"))
-    return f.join(per, "business_id", "left").select("review_id", "stars", "business_star_avg", "place_reviews")
+    return analytics.with_place_figures(featured(spark, d)).select("review_id", "stars", "business_star_avg", "place_reviews")
 
 
 @add("a1_metrics", f"{FT} SELECT is_open, {c.METRIC_SQL} FROM featured GROUP BY is_open")
 def _(spark, d):
     f = featured(spark, d)
-    return f.groupBy("is_open").agg(*gold.metric_columns(f))
+    return measures.grouped(f, measures.Grouping(("is_open",), measures.present(f, gold.METRICS), distinct=gold.DISTINCT))
 
 
 @add("a15_min_max", f"{FT} SELECT min(stars) AS min_stars, max(stars) AS max_stars, min(word_count) AS min_word_count, max(word_count) AS max_word_count, min(vader_sentiment_score) AS min_score, max(vader_sentiment_score) AS max_score FROM featured")
 def _(spark, d):
-    pairs = (("stars", "stars"), ("word_count", "word_count"), ("vader_sentiment_score", "score"))
-    return featured(spark, d).agg(*[f(x).alias(f"{n}_{y}") for x, y in pairs for n, f in (("min", F.min), ("max", F.max))])
+    f = featured(spark, d).withColumnRenamed("vader_sentiment_score", "score")
+    return f.agg(*[e for c in ("stars", "word_count", "score") for e in validate.extremes(c)])
 
 
 @add("a16_shares", f"{FT} SELECT avg(CASE WHEN word_count <> 0 THEN 1.0e0 ELSE 0.0e0 END) AS nonzero, avg(CASE WHEN weighted_star = stars THEN 1.0e0 ELSE 0.0e0 END) AS same FROM featured")
@@ -243,7 +234,7 @@ def _(spark, d):
     return bronze.read_json(spark, "c_custkey long, c_name string", at)
 
 
-@add("k6_run_log")
+@add("k6_run_log", """SELECT '{"metrics": "{\\"rows\\": null}", "run": 1}' AS record_json""")
 def _(spark, d):
     at = c.scratch(spark, "log")
     sinks.log_run({"run": 1, "metrics": {"rows": None}}, at if "://" in at else f"file://{at}", spark)
@@ -294,9 +285,8 @@ def _(spark, d):
 
 @add("v8_serving_keys", c.SUMMARY_SQL + " SELECT count(*) AS places, count(DISTINCT (gold_variant_value, coalesce(business_id, ''))) AS keys FROM summary")
 def _(spark, d):
-    s = c._summary(spark, d)
-    key = F.struct("gold_variant_value", F.coalesce("business_id", F.lit("")))
-    return s.agg(F.count("*").alias("places"), F.countDistinct(key).alias("keys"))
+    got = validate.validate_serving(c._summary(spark, d), c._monthly(spark, d))
+    return spark.createDataFrame([(got["businesses"], got["keys"])], "places long, keys long")
 
 
 @add("n4_diagnosis", c.AT_RISK + " SELECT count(*) AS places, count(*) FILTER (at_risk_flag) AS flagged, min(decline) AS least, max(decline) AS most FROM flagged")
@@ -308,8 +298,7 @@ def _(spark, d):
 
 @add("a17_uniqueness_probe", "SELECT count(*) > 0 AS repeats FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)")
 def _(spark, d):
-    per = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").count().where("count > 1")
-    return per.limit(1).agg((F.count("*") > 0).alias("repeats"))
+    return validate.repeats(table(spark, d, "lineitem"), "l_orderkey", "l_linenumber")
 
 
 @add("j3_scope_tips", f"{S}, {c.PICK} SELECT event_id FROM events WHERE CAST(user_id AS VARCHAR) IN (SELECT user_id FROM picked)")
@@ -318,3 +307,57 @@ def _(spark, d):
     events = table(spark, d, "events").withColumn("user_id", F.col("user_id").cast("string"))
     return silver.scope_related(events, "user", picked).select("event_id")
 
+
+
+TIPS = "tips AS (SELECT event_id, CAST(user_id % 1000 AS VARCHAR) AS business_id FROM events)"
+
+
+@add("j3_scope_tips_of_places", f"{S}, {c.PICK}, {TIPS} SELECT event_id, business_id FROM tips SEMI JOIN picked USING (business_id)")
+def _(spark, d):
+    picked = silver.sample_by_hash(silver_table(spark, d), 500, 42, by="md5")
+    tips = table(spark, d, "events").select("event_id", (F.col("user_id") % 1000).cast("string").alias("business_id"))
+    return silver.scope_related(tips, "tip", picked).select("event_id", "business_id")
+
+
+@add("j3_scope_checkins", f"{S}, {c.PICK} SELECT l_orderkey, l_linenumber, CAST(l_partkey % 1000 AS VARCHAR) AS business_id FROM lineitem WHERE CAST(l_partkey % 1000 AS VARCHAR) IN (SELECT business_id FROM picked)")
+def _(spark, d):
+    picked = silver.sample_by_hash(silver_table(spark, d), 500, 42, by="md5")
+    visits = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_partkey") % 1000).cast("string").alias("business_id"))
+    return silver.scope_related(visits, "checkin", picked).select("l_orderkey", "l_linenumber", "business_id")
+
+
+@add(
+    "m4_m5_m6_d4_resources",
+    "SELECT * FROM (VALUES ('scratch table is read', true), ('scratch table is gone after release', true), ('a failed clean-up is a warning', true), "
+    "('run ids differ', true), ('arrow options are set', true), ('the session is local', true), ('a remote session keeps tables', true)) t(what, holds)",
+)
+def _(spark, d):
+    nation = table(spark, d, "nation")
+    kept = materialize.Kept(spark, "table")
+    read = kept.keep(nation, "nation").count() == nation.count()
+    name = f"_scratch_nation_{kept.run_id}"
+    there = spark.catalog.tableExists(f"default.{name}")
+    kept._undo.insert(0, ("broken", lambda: 1 / 0))
+    warnings = kept.release()
+    arrow = materialize.configure_arrow(spark, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+    rows = [
+        ("scratch table is read", read), ("scratch table is gone after release", there and not spark.catalog.tableExists(f"default.{name}")),
+        ("a failed clean-up is a warning", [w.split(":")[0] for w in warnings] == ["broken"]), ("run ids differ", materialize.new_run_id() != kept.run_id),
+        ("arrow options are set", all(arrow.values())), ("the session is local", not materialize.is_connect(spark)),
+        ("a remote session keeps tables", materialize.resolve_mode("auto", True) == "table"),
+    ]
+    return spark.createDataFrame(rows, "what string, holds boolean")
+
+
+@add(
+    "t30_lexicon_paths",
+    "SELECT * FROM (VALUES ('vad', 'own/vad.txt'), ('worry', 's3://b/lex/worry.tsv'), ('wcst', 's3://b/lex/wcst.tsv'), ('affect', 's3://b/lex/affect.tsv'), "
+    "('intensity', 's3://b/lex/intensity.tsv'), ('missing', 'missing lexicons: give a folder or --worry, --wcst, --affect, --intensity')) t(lexicon, path)",
+)
+def _(spark, d):
+    rows = list(lexicons.resolve_paths("s3://b/lex", vad="own/vad.txt").items())
+    try:
+        lexicons.resolve_paths(vad="own/vad.txt")
+    except SystemExit as e:
+        rows.append(("missing", str(e)))
+    return spark.createDataFrame(rows, "lexicon string, path string")

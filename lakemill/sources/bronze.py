@@ -15,8 +15,6 @@ from pyspark.sql.types import StructType
 from lakemill.operators.silver import build_silver
 from lakemill.sources.names import join_path
 
-COMPLIMENTS = "hot more profile cute list note plain cool funny writer photos".split()
-
 
 @dataclass(frozen=True)
 class Dataset:
@@ -48,7 +46,8 @@ DATASETS = {
         Dataset(
             "user", "user_id",
             "user_id string, name string, review_count long, yelping_since string, useful long, funny long, cool long, elite string, friends string, "
-            "fans long, average_stars double, " + ", ".join(f"compliment_{c} long" for c in COMPLIMENTS), 32,
+            "fans long, average_stars double, compliment_hot long, compliment_more long, compliment_profile long, compliment_cute long, compliment_list long, "
+            "compliment_note long, compliment_plain long, compliment_cool long, compliment_funny long, compliment_writer long, compliment_photos long", 32,
         ),
     )
 }

@@ -103,7 +103,7 @@ def test_serving(spark):
     assert (s["p2"].risk_score, s["p2"].attention_tier, s["p2"].recommended_focus) == (0.1125, "monitor", "Maintain performance and monitor trends")
     months = serving.monthly_summary(g)
     assert {(r.year_month, r.primary_industry) for r in months.collect()} == {("2021-01", "Food"), ("2021-02", "Food"), ("2021-01", "Hair")}
-    assert validate.validate_serving(serving.business_summary(g), months) == {"businesses": 2}
+    assert validate.validate_serving(serving.business_summary(g), months) == {"businesses": 2, "keys": 2}
     assert serving.dashboard_filter(serving.business_summary(g), 1, mapped=True).count() == 1
     roll = serving.state_rollup(serving.business_summary(g)).first()
     assert roll.review_count == 3 and abs(roll.avg_stars - 10 / 3) < 1e-9
