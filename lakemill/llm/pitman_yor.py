@@ -20,11 +20,11 @@ are exact, so neither shards nor buckets nor hot contexts alter a score.
 
 Layout: documents are packed into shards. A shard sends each distinct
 (context, word) pair once, with its training count, to the bucket of the
-context. A bucket merges its pairs, keeps those that can change (pairs seen
-twice or more; a pair seen once has one table) and is at the same time the
-root of the words that hash to it. A sweep is one message from each bucket to
-each root bucket (tables of the words they share) and one back (customers and
-tables at the root), as packed arrays of small numbers in an order fixed once.
+context. A bucket merges its pairs and keeps those that can change (pairs seen
+twice or more; a pair seen once has one table). One in ``ROOT_SPAN`` buckets
+is a root too, of the words that hash to that span. A sweep is one message from each bucket to
+each root (tables of the words they share) and one back (customers and tables at
+the root), as packed arrays of small numbers in an order fixed once.
 Contexts that hold over a thousandth of a bounded sample of tokens are spread
 over the buckets of ``HOT_PARTS`` parts by word, and their tables are summed
 with every sweep.
@@ -52,6 +52,7 @@ HOT_SAMPLE = 2_000  # documents looked at to find hot contexts
 STIRLING = 64
 SWEEPS, BURN_IN = 5, 2
 SAMPLES = SWEEPS - BURN_IN
+ROOT_SPAN = 8  # buckets whose words one root task holds
 DISH_BYTES = 5  # a dish is named by the upper 40 bits of its word's hash
 SIDE = np.uint64(64 - 8 * DISH_BYTES)
 LOW32 = np.uint64(0xFFFFFFFF)
@@ -132,22 +133,33 @@ class Shard:
         inside[ends] = False
         token[inside] = np.concatenate(runs) if runs else []
         token[ends] = END
-        before = np.empty(len(token), np.uint64)
-        before[1:] = token[:-1]
-        before[np.concatenate([[0], ends[:-1] + 1])] = START
         train = np.repeat(~held_out, self.sizes)
         self.words, self.word = np.unique(token, return_inverse=True)
         self.word_counts = np.bincount(self.word[train], minlength=len(self.words))
-        self.hot = np.isin(before, hot)
-        context = before.copy()
-        part = (token[self.hot] >> SIDE) % np.uint64(HOT_PARTS)
-        context[self.hot] = mix(before[self.hot] + (part + np.uint64(1)) * M2)
-        self.contexts, self.context = np.unique(context, return_inverse=True)
-        self.pairs, self.pair = np.unique(self.context.astype(np.uint64) << np.uint64(32) | self.word.astype(np.uint64), return_inverse=True)
+        # contexts are numbered by the word before, then by hot context and part
+        n = len(self.words)
+        before = np.empty(len(token), np.int64)
+        before[1:] = self.word[:-1]
+        before[np.concatenate([[0], ends[:-1] + 1])] = n  # the start of a text
+        names = np.append(self.words, START)
+        place = np.minimum(np.searchsorted(hot, names), len(hot) - 1)
+        warm = np.where(hot[place] == names, place, -1)
+        split = np.nonzero(warm[before] >= 0)[0]
+        code = before.copy()
+        code[split] = n + 1 + warm[before[split]] * HOT_PARTS + (token[split] >> SIDE).astype(np.int64) % HOT_PARTS
+        codes = np.nonzero(np.bincount(code, minlength=n + 1 + len(hot) * HOT_PARTS))[0]
+        keys = np.concatenate([names, part_names(hot).ravel()])[codes]
+        order = np.argsort(keys)
+        self.contexts, rank = keys[order], np.empty(n + 1 + len(hot) * HOT_PARTS, np.int64)
+        rank[codes[order]] = np.arange(len(codes))
+        # each context's word (the start has as many customers as the end), and its number if hot
+        origin = np.where(codes > n, np.searchsorted(names[:n], hot[np.maximum(codes - n - 1, 0) // HOT_PARTS]), codes)[order]
+        self.hot = np.where(codes > n, (codes - n - 1) // HOT_PARTS, -1)[order]
+        start = (origin == n) | ((self.hot >= 0) & (hot[np.maximum(self.hot, 0)] == START))
+        self.before = np.where(start, np.searchsorted(self.words, END), np.minimum(origin, n - 1))
+        self.pairs, self.pair = np.unique(rank[code].astype(np.uint64) << np.uint64(32) | self.word.astype(np.uint64), return_inverse=True)
         self.pair_counts = np.bincount(self.pair[train], minlength=len(self.pairs))
-        # each token's context as a word of this shard; the start has as many customers as the end
-        self.before = np.searchsorted(self.words, np.where(before == START, END, before))
-        self.before_key = before
+        self.home, self.what = (self.pairs >> np.uint64(32)).astype(np.int64), (self.pairs & LOW32).astype(np.int64)
 
 
 def hot_contexts(docs: DataFrame, share: float = 1e-3) -> np.ndarray:
@@ -169,6 +181,15 @@ def hot_contexts(docs: DataFrame, share: float = 1e-3) -> np.ndarray:
     return np.unique(np.append(np.array([r.h for r in hot], np.int64).view(np.uint64), START))
 
 
+def cut_by_root(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bounds of each root's words in sorted keys."""
+    return np.append(cut_by_bucket(keys, buckets)[:-1:ROOT_SPAN], len(keys))
+
+
+def root_of(key: np.ndarray, buckets: int) -> int:
+    return int(bucket_of(key, buckets)[0]) // ROOT_SPAN
+
+
 def part_names(hot: np.ndarray) -> np.ndarray:
     """Names of the parts of hot contexts: a row for each."""
     return mix(hot[:, None] + (np.arange(HOT_PARTS, dtype=np.uint64) + np.uint64(1)) * M2)
@@ -263,12 +284,12 @@ def _layout(m: Merged, bucket: int, buckets: int, parts: np.ndarray, hot: np.nda
     used = moves | (fixed > 0)
     names, fixed, moves = m.dishes[used], fixed[used], moves[used]
     totals = np.array([m.word_counts.sum(), (m.word_counts > 0).sum()], "<i8").tobytes()
-    ends = cut_by_bucket(names, buckets)
+    ends = cut_by_root(names, buckets)
     for r, (lo, hi) in enumerate(zip(ends, ends[1:])):
         out.append(message(r, SHARED, bucket, pack_sorted(names[lo:hi] >> SIDE), _ints(fixed[lo:hi]), np.packbits(moves[lo:hi]).tobytes(), f=totals))
     for u in np.nonzero(np.isin(parts, m.restaurants).any(axis=1))[0]:
         n = int(singles[np.isin(m.restaurants, parts[u])].sum())
-        out.append(message(int(bucket_of(hot[u : u + 1], buckets)[0]), HOT, bucket, hot[u : u + 1].tobytes(), np.int64(n).tobytes()))
+        out.append(message(root_of(hot[u : u + 1], buckets), HOT, bucket, hot[u : u + 1].tobytes(), np.int64(n).tobytes()))
     return out
 
 
@@ -328,17 +349,20 @@ def _sweep_contexts(fixed: pd.DataFrame, got: pd.DataFrame | None, bucket: int,
             history = [*history, x.tables_of(t)]
     out = [message(bucket, STATE, bucket, _ints(t), _ints(summed), _rows_of(history))]
     sums = np.bincount(x.name, weights=t, minlength=len(x.names)).astype(np.int64)
-    ends = cut_by_bucket(x.names, buckets)
+    ends = cut_by_root(x.names, buckets)
     out += [message(r, TABLES, bucket, _ints(sums[lo:hi]), f=totals.tobytes()) for r, (lo, hi) in enumerate(zip(ends, ends[1:]))]
     whole = x.tables_of(t)
     for u in np.unique(x.hot[x.hot >= 0]).tolist():
         n = np.int64(whole[x.hot == u].sum())
-        out.append(message(int(bucket_of(hot[u : u + 1], buckets)[0]), HOT, bucket, hot[u : u + 1].tobytes(), n.tobytes()))
+        out.append(message(root_of(hot[u : u + 1], buckets), HOT, bucket, hot[u : u + 1].tobytes(), n.tobytes()))
     return out
 
 
 def _sweep_root(fixed: pd.DataFrame, got: pd.DataFrame, bucket: int, buckets: int, sweep: int, parts: np.ndarray, hot: np.ndarray) -> list[tuple]:
-    """Redraw a root bucket's tables (sweep 0 sets one for each word) and answer all buckets."""
+    """Redraw a root's tables (sweep 0 sets one for each word) and answer all buckets."""
+    passed = [message(*r) for r in _pick(got, STATE)[NAMES].itertuples(index=False)]
+    if bucket > (buckets - 1) // ROOT_SPAN:
+        return passed
     shared, sent = _pick(fixed, SHARED), _pick(got, TABLES)
     lists = [unpack_sorted(a) << SIDE for a in shared["a"]]
     moves = [np.unpackbits(np.frombuffer(c, np.uint8), count=len(k)).astype(bool) for c, k in zip(shared["c"], lists)]
@@ -366,18 +390,21 @@ def _sweep_root(fixed: pd.DataFrame, got: pd.DataFrame, bucket: int, buckets: in
             history = [*history, customers, t]
     # tokens and words of the whole corpus are known here, so one bucket tells them
     totals = np.array([n if bucket == 0 else 0, v if bucket == 0 else 0, customers.sum(), t.sum()], "<f8")
-    last = sweep == SWEEPS
     kept = [*(_totals_of(state) if len(state) else []), totals] if sweep > BURN_IN else []
-    out = [message(bucket, ROOT, bucket, _ints(t), _rows_of(history), pack_sorted(names >> SIDE) if last else b"", np.concatenate(kept).tobytes() if kept else b"")]
-    starts = np.concatenate([[0], np.cumsum([len(k) for k in lists])]).astype(int)
-    asked = {int(s): name[a:b][m] for s, a, b, m in zip(shared["source"], starts, starts[1:], moves)}
-    none = np.zeros(0, np.int64)
-    if not last:
+    if sweep < SWEEPS:
+        out = [message(bucket, ROOT, bucket, _ints(t), _rows_of(history), d=np.concatenate(kept).tobytes() if kept else b"")]
+        starts = np.concatenate([[0], np.cumsum([len(k) for k in lists])]).astype(int)
+        asked = {int(s): name[a:b][m] for s, a, b, m in zip(shared["source"], starts, starts[1:], moves)}
+        none = np.zeros(0, np.int64)
         for b in range(buckets):
             at = asked.get(b, none)
             out.append(message(b, REPLY, bucket, _ints(customers[at]), _ints(t[at]), f=totals.tobytes()))
-    out += _hot_totals(fixed, got, bucket, buckets, sweep, parts, hot)
-    return out + [message(*r) for r in _pick(got, STATE)[NAMES].itertuples(index=False)]
+    else:  # to each bucket its own words
+        ends = cut_by_bucket(names, buckets)
+        kept = np.concatenate(kept).tobytes()
+        span = range(ROOT_SPAN * bucket, min(buckets, ROOT_SPAN * (bucket + 1)))
+        out = [message(b, ROOT, bucket, b=_rows_of([x[ends[b] : ends[b + 1]] for x in history]), c=pack_sorted(names[ends[b] : ends[b + 1]] >> SIDE), d=kept if b == span[0] else b"") for b in span]
+    return out + passed + _hot_totals(fixed, got, bucket, buckets, sweep, parts, hot)
 
 
 def _totals_of(state: pd.DataFrame) -> list[np.ndarray]:
@@ -397,13 +424,13 @@ def _hot_totals(fixed: pd.DataFrame, got: pd.DataFrame, bucket: int, buckets: in
     for u, n in sorted(sums.items()):
         key, n = hot[u : u + 1].tobytes(), np.int64(n).tobytes()
         if sweep > BURN_IN:
-            out.append(message(bucket, TOP, bucket, key, past.get(key, b"") + n))
+            out.append(message(bucket if sweep < SWEEPS else bucket * ROOT_SPAN, TOP, bucket, key, past.get(key, b"") + n))
         if sweep < SWEEPS:
             out += [message(int(b), HOT, bucket, key, n) for b in np.unique(bucket_of(parts[u], buckets))]
     return out
 
 
-def _answers(m: Merged, end: pd.DataFrame, bucket: int, shards: int) -> list[tuple]:
+def _answers(m: Merged, end: pd.DataFrame, bucket: int, shards: int, hot: np.ndarray) -> list[tuple]:
     """What the shards asked for: counts and tables of pairs, contexts and words."""
     state, root, top = _pick(end, STATE), _pick(end, ROOT), _pick(end, TOP)
     changing = m.c > 1
@@ -421,53 +448,48 @@ def _answers(m: Merged, end: pd.DataFrame, bucket: int, shards: int) -> list[tup
     at = np.searchsorted(names, (m.words >> SIDE) << SIDE)
     at = np.where(np.append(names, 0)[at] == (m.words >> SIDE) << SIDE, at, len(names))
     at[m.word_counts == 0] = len(names)  # a word that is not of the vocabulary has no table
-    warm, tables = b"".join(top["a"]), b"".join(top["b"])
-    top = {s: (_ints(np.zeros(0)),) * 2 for s in range(shards)}
-    start = 0
-    for source, k in zip(m.sources, m.lists):
-        mine = m.word[start : start + len(k)]
-        start += len(k)
-        top[source] = (_ints(m.word_counts[mine]), _rows_of([x[at[mine]] for x in lists]))
-    out = [message(s, TOP, bucket, warm, tables, *x, e=root["d"].iat[0]) for s, x in top.items()]
-    start = 0
-    for source, ctx, size in zip(m.sources, m.contexts, m.sizes):
-        mine = m.pair[start : start + size.sum()]
-        start += len(mine)
+    totals = b""  # of the root and its hot contexts, told by the first bucket of a root
+    if root["d"].iat[0]:
+        tables = np.zeros((len(hot), SAMPLES))
+        for key, n in zip(top["a"], top["b"]):
+            tables[np.searchsorted(hot, np.frombuffer(key, np.uint64)[0])] = np.frombuffer(n, np.int64)
+        totals = root["d"].iat[0] + tables.tobytes()
+    out, start, begin = {s: message(s, SEATED, bucket, f=totals) for s in range(shards)} if totals else {}, 0, 0
+    for source, ctx, size, k in zip(m.sources, m.contexts, m.sizes, m.lists):
+        pair, word = m.pair[start : start + size.sum()], m.word[begin : begin + len(k)]
+        start, begin = start + len(pair), begin + len(k)
         room = np.searchsorted(m.restaurants, ctx)
-        out.append(message(source, SEATED, bucket, _rows_of([x[room] for x in whole]), _ints(m.c[mine]), _ints(extra[mine])))
-    return out
+        out[source] = message(
+            source, SEATED, bucket, _rows_of([x[room] for x in whole]), _ints(m.c[pair]), _ints(extra[pair]),
+            _ints(m.word_counts[word]), _rows_of([x[at[word]] for x in lists]), totals,
+        )
+    return list(out.values())
 
 
-def _probabilities(s: Shard, answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each token: training count, additive base and averaged predictive, in log10."""
-    p, top, mid = Prior, _pick(answers, TOP), _pick(answers, SEATED)
-    totals = np.sum([np.frombuffer(e, "<f8").reshape(SAMPLES, 4) for e in top["e"]], axis=0)
+def _probabilities(s: Shard, answers: pd.DataFrame, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Training count and additive base of each word, averaged predictive of
+    each pair (both in log10), and the tokens learned from."""
+    p, rows = Prior, _pick(answers, SEATED)
+    ends = [np.frombuffer(f, "<f8") for f in rows["f"] if f]
+    totals = np.sum([x[: 4 * SAMPLES].reshape(SAMPLES, 4) for x in ends], axis=0)
+    hot_tables = np.sum([x[4 * SAMPLES :].reshape(len(hot), SAMPLES) for x in ends], axis=0)
     tokens, vocabulary = totals[0, :2]
-    c = _join([_uints(x) for x in top["c"]], np.int64).astype(np.float64)
-    across = lambda parts, n: np.concatenate([np.stack(_lists_of(x, n)) if x else np.zeros((n, 0)) for x in parts], axis=1)
-    root = across(top["d"], 2 * SAMPLES).astype(np.float64)
-    single = np.stack([_root_value(root[2 * i], root[2 * i + 1], totals[i]) for i in range(SAMPLES)])
-    pair_c = _join([_uints(x) for x in mid["b"]], np.int64).astype(np.float64)
-    pair_t = _join([_uints(x) for x in mid["c"]], np.int64) / SAMPLES + (pair_c > 0)
-    context_t = across(mid["a"], SAMPLES).astype(np.float64)
-    hot_keys = np.frombuffer(b"".join(top["a"]), np.uint64)
-    hot_tables = np.frombuffer(b"".join(top["b"]), np.int64).reshape(-1, SAMPLES)
-    order = np.argsort(hot_keys)
-    hot_keys = np.append(hot_keys[order], np.uint64(2**64 - 1))
-    hot_tables = np.concatenate([hot_tables[order], np.zeros((1, SAMPLES), np.int64)])
-    at = np.searchsorted(hot_keys, s.before_key)
-    known = hot_keys[at] == s.before_key
-    customers = c[s.before]
-    given = (pair_c - p.d * pair_t)[s.pair]
-    alone = np.zeros(len(s.word))
+    across = lambda parts, n: np.concatenate([np.stack(_lists_of(x, n)) if x else np.zeros((n, 0)) for x in parts], axis=1).astype(np.float64)
+    c = _join([_uints(x) for x in rows["d"]], np.int64).astype(np.float64)
+    root = across(rows["e"], 2 * SAMPLES)
+    pair_c = _join([_uints(x) for x in rows["b"]], np.int64).astype(np.float64)
+    pair_t = _join([_uints(x) for x in rows["c"]], np.int64) / SAMPLES + (pair_c > 0)
+    tables = across(rows["a"], SAMPLES)
+    warm = s.hot >= 0
+    tables[:, warm] = hot_tables[s.hot[warm]].T
+    given, alone = pair_c - p.d * pair_t, np.zeros(len(s.words))
     for i in range(SAMPLES):
-        tables = np.where(s.hot, np.where(known, hot_tables[at, i], 0), context_t[i][s.context])
-        one = single[i][s.word]
-        given += (p.theta + p.d * tables) * one / SAMPLES
-        alone += one / SAMPLES
-    logs = np.log10(np.where(customers > 0, given / (p.theta + customers), alone))
-    base = np.log10((c + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
-    return c[s.word], base[s.word], logs, int(tokens)
+        single = _root_value(root[2 * i], root[2 * i + 1], totals[i]) / SAMPLES
+        given += ((p.theta + p.d * tables[i])[s.home]) * single[s.what]
+        alone += single
+    customers = c[s.before]
+    logs = np.log10(np.where(customers[s.home] > 0, given / (p.theta + customers)[s.home], alone[s.what]))
+    return c, np.log10((c + 0.1) / (tokens + 0.1 * (vocabulary + 1))), logs, int(tokens)
 
 
 def _packed_documents(rows: DataFrame, shards: int) -> DataFrame:
@@ -522,10 +544,9 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
     def send(blocks: pd.DataFrame) -> pd.DataFrame:
         about, texts = _unpacked(blocks)
         s, number = Shard(texts, about["held_out"].to_numpy(), hot), int(blocks["shard"].iloc[0])
-        home = (s.pairs >> np.uint64(32)).astype(np.int64)
-        sizes = np.bincount(home, minlength=len(s.contexts))
+        sizes = np.bincount(s.home, minlength=len(s.contexts))
         first = np.concatenate([[0], np.cumsum(sizes)])
-        dish = s.words[(s.pairs & LOW32).astype(np.int64)]
+        dish = s.words[s.what]
         words, ctx = cut_by_bucket(s.words, buckets), cut_by_bucket(s.contexts, buckets)
         out = []
         for b in range(buckets):
@@ -555,7 +576,7 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
         return run
 
     def answer(batch: pd.DataFrame, end: pd.DataFrame) -> pd.DataFrame:
-        return _frame(_answers(Merged(_pick(batch, SENT)), end, int(batch["to"].iloc[0]), n))
+        return _frame(_answers(Merged(_pick(batch, SENT)), end, int(batch["to"].iloc[0]), n, hot))
 
     def finish(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         names = ["doc_id", "no_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
@@ -563,12 +584,12 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
             return pd.DataFrame(columns=names)
         about, texts = _unpacked(blocks)
         s = Shard(texts, about["held_out"].to_numpy(), hot)
-        c, base, logs, tokens = _probabilities(s, answers)
+        c, base, logs, tokens = _probabilities(s, answers, hot)
         start = np.concatenate([[0], np.cumsum(s.sizes)[:-1]])
-        score = np.add.reduceat(logs, start)
+        score = np.add.reduceat(logs[s.pair], start)
         return about.assign(
-            n_tokens=s.sizes, n_known=np.add.reduceat((c > 0).astype(np.int64), start), train_tokens=tokens,
-            base_score=np.add.reduceat(base, start), score=score, perplexity=10 ** (-score / s.sizes),
+            n_tokens=s.sizes, n_known=np.add.reduceat((c > 0).astype(np.int64)[s.word], start), train_tokens=tokens,
+            base_score=np.add.reduceat(base[s.word], start), score=score, perplexity=10 ** (-score / s.sizes),
         )
 
     sent = dealt.groupBy("shard").applyInPandas(send, FIELDS)
