@@ -73,11 +73,58 @@ def normalized(word: str) -> str:
     return _normalizer().normalize_str(word)
 
 
+@functools.cache
+def classes() -> dict[str, str]:
+    return {p: char_class(p) for p in (r"\p{L}", r"\p{N}", r"\s")}
+
+
+def own_regex(pattern: str) -> str:
+    """A file's pre-token pattern for Python's engine: letters, digits and white
+    space, which must stand in brackets, as the library knows them."""
+    out, at, inside = [], 0, False
+    while at < len(pattern):
+        name = next((p for p in classes() if pattern.startswith(p, at)), None)
+        if name is None and pattern[at] == "\\" or name is not None and not inside:
+            raise ValueError(f"unsupported pre-token pattern: {pattern}")
+        inside = pattern[at] == "[" or inside and pattern[at] != "]"
+        out.append(classes()[name] if name else pattern[at])
+        at += len(name or "x")
+    return "".join(out)
+
+
+# The steps before the merges that are understood here, as tokenizer files state them.
+WORD_STEPS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+
+
+def pretokens_of(data: dict) -> tuple[str, str | None]:
+    """Kind of a tokenizer file (``words`` or ``bytes``) and its own pre-token pattern.
+
+    ValueError for any other file: its ids would not be those of the library.
+    """
+    before, split = data.get("normalizer") or {}, data.get("pre_tokenizer") or {}
+    plain = {"type": "ByteLevel", "add_prefix_space": False}
+    byte_level = lambda x, regex: plain.items() <= x.items() and x.get("use_regex", True) is regex
+    model, tokens = data["model"], data["added_tokens"]
+    odd = [k for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges") if model.get(k)]
+    odd += [t["content"] for t in tokens if any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized")) or t["content"].split() != [t["content"]]]
+    if model.get("type") != "BPE" or odd:
+        raise ValueError(f"unsupported tokenizer file: {model.get('type')} {odd}")
+    if not before and byte_level(split, True):
+        return "bytes", None
+    steps = split.get("pretokenizers", [])
+    if before.get("normalizers") == WORD_STEPS and len(steps) == 2 and byte_level(steps[1], False):
+        cut = steps[0]
+        if cut.get("type") == "Split" and cut.get("behavior") == "Removed" and cut.get("invert") and "Regex" in cut["pattern"]:
+            return "words", own_regex(cut["pattern"]["Regex"])
+    raise ValueError("unsupported tokenizer file: normalizer or pre-tokenizer")
+
+
 class Vocabulary:
-    """Ranks and ids from a tokenizer file (word ends marked, byte letters)."""
+    """Ranks and ids from a tokenizer file (byte letters; word ends may be marked)."""
 
     def __init__(self, data: dict):
         model = data["model"]
+        self.kind, self.pretoken = pretokens_of(data)
         self.ids: dict[str, int] = model["vocab"]
         self.end: str = model.get("end_of_word_suffix") or ""
         self.special: dict[str, int] = {t["content"]: t["id"] for t in data["added_tokens"]}
@@ -91,9 +138,7 @@ class Vocabulary:
         letters = byte_letters()
         self.inner = [self.ids[c] for c in letters]
         self.last = [self.ids[c + self.end] for c in letters]
-        letter, digit, space = map(char_class, (r"\p{L}", r"\p{N}", r"\s"))
-        # Fixed value: the vocabulary file's own pre-token pattern.
-        self.pretoken = f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^{space}{letter}{digit}]+"
+        self.mark = os.path.commonprefix([*self.special])  # what all specials begin with
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special))) + ")") if self.special else None
 
     @classmethod
@@ -246,7 +291,7 @@ class Codec:
     def pieces(self, word: str) -> list[str | int]:
         """Pre-tokens and special ids of a stretch without white space."""
         v = self.vocabulary
-        if not v.cut or "<|" not in word:
+        if not v.cut or v.mark not in word:
             return self.find(normalized(word))
         out: list[str | int] = []
         for part in v.cut.split(word):
@@ -331,10 +376,13 @@ def bpe_codec(
     array<int> and decoded string with ``keep_ids``). Null texts are empty:
     no tokens, digests of the empty text. Repeated rows give repeated rows;
     null ids stay null; an empty table gives no rows; other columns are
-    ignored. The vocabulary file is read on the driver only.
+    ignored. The vocabulary file is read on the driver only; its pattern and
+    special tokens are its own, and a file of another kind is refused.
     """
     rows = documents(docs, id_col, text_col)
     vocabulary = Vocabulary.load(vocabulary_path)
+    if vocabulary.kind != "words":
+        raise ValueError("the codec needs a file that splits words")
     shared = rows.sparkSession.sparkContext.broadcast((vocabulary, build_lexicon(rows, vocabulary, lexicon_words)))
     schema = f"{IDS}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakemill.llm.bpe import Memo, Vocabulary, char_class
+from lakemill.llm.bpe import Memo, Vocabulary, classes
 from lakemill.llm.common import shared_folder
 
 LEAF = 64
@@ -36,17 +36,16 @@ ROWS = 1_000  # rows of a batch given back at once
 
 @functools.cache
 def pretoken_pattern() -> str:
-    letter, digit, space = map(char_class, (r"\p{L}", r"\p{N}", r"\s"))
-    # Fixed value: the byte-level pre-token pattern of the vocabulary.
-    return (
-        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{digit}]+| ?[^{space}{letter}{digit}]+|[{space}]+(?![^{space}])|[{space}]+"
-    )
+    letter, digit, space = classes().values()
+    # Fixed value: the byte-level pre-token pattern of the vocabulary. Words and numbers, which are
+    # most, are tried before contractions, which begin with neither.
+    return f" ?[{letter}]+| ?[{digit}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{space}{letter}{digit}]+|[{space}]+(?![^{space}])|[{space}]+"
 
 
 class Counter(Memo):
     """Tokens of a pre-token, by exact merges; remembers what it used lately."""
 
-    LIMIT = 200_000
+    LIMIT = 300_000
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__(lambda pretoken: len(vocabulary.merge(pretoken)), self.LIMIT)
@@ -54,6 +53,22 @@ class Counter(Memo):
     def of(self, pretokens: list[str]) -> list[int]:
         return [*map(self.__getitem__, pretokens)]
 
+    @classmethod
+    def kept(cls, vocabulary: Vocabulary) -> Counter:
+        """The counter of a worker: it stays with the broadcast vocabulary, so that
+        the tasks of one worker merge a pre-token once."""
+        if not hasattr(vocabulary, "counter"):
+            vocabulary.counter = cls(vocabulary)
+        return vocabulary.counter
+
+
+def load(path: str) -> Vocabulary:
+    """A vocabulary whose pre-tokens are those of the pattern here."""
+    vocabulary = Vocabulary.load(path)
+    if vocabulary.kind != "bytes":
+        raise ValueError("token counts need a byte-level file")
+    return vocabulary
+
 
 def pack(xs: list[int]) -> bytes:
     """Small numbers in a byte each, or all in four."""
@@ -72,17 +87,22 @@ class Leaf:
 
     __slots__ = ("text", "lengths", "counts")
 
-    def __init__(self, text: str = "", lengths: list[int] = (), counts: list[int] = ()):
-        self.text, self.lengths, self.counts = text, list(lengths), list(counts)
+    def __init__(self, text: str = "", lengths: list[int] | None = None, counts: list[int] | None = None):
+        self.text, self.lengths, self.counts = text, lengths or [], counts or []
 
     @property
     def sums(self) -> tuple[int, int, int]:
         return len(self.text), sum(self.counts), len(self.lengths)
 
 
-def leaves_of(pieces: list[str], counts: list[int]) -> list[Leaf]:
-    cut = [slice(i, i + LEAF) for i in range(0, len(pieces), LEAF)]
-    return [Leaf("".join(pieces[c]), [*map(len, pieces[c])], counts[c]) for c in cut]
+def leaves_of(text: str, pieces: list[str], counts: list[int]) -> list[Leaf]:
+    lengths, out, at = [*map(len, pieces)], [], 0
+    for i in range(0, len(pieces), LEAF):
+        mine = lengths[i : i + LEAF]
+        end = at + sum(mine)
+        out.append(Leaf(text[at:end], mine, counts[i : i + LEAF]))
+        at = end
+    return out
 
 
 def sums_of(rows: np.ndarray) -> np.ndarray:
@@ -112,7 +132,7 @@ class DocumentTree:
     @classmethod
     def of_text(cls, text: str, pattern: re.Pattern, counter: Counter) -> DocumentTree:
         pieces = pattern.findall(text)
-        leaves = leaves_of(pieces, counter.of(pieces))
+        leaves = leaves_of(text, pieces, counter.of(pieces))
         return cls(leaves, sums_of(np.array([x.sums for x in leaves], np.int64).reshape(-1, 3)), pattern, counter)
 
     @property
@@ -288,14 +308,14 @@ def _packed_trees(trees: list[DocumentTree], stored: list[pa.Array] | None = Non
 def build_trees(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """A tree for every whole text: doc_id, ``carry``, n_characters,
     n_pretokens, n_tokens and the columns of TREE. Null texts are empty."""
-    shared = docs.sparkSession.sparkContext.broadcast((Vocabulary.load(vocabulary_path), pretoken_pattern()))
+    shared = docs.sparkSession.sparkContext.broadcast((load(vocabulary_path), pretoken_pattern()))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *carry)
     names = [c for c in rows.columns if c != "text"]
     schema = rows.drop("text").schema
     out = StructType([*schema, *StructType.fromDDL(f"n_characters long, n_pretokens long, n_tokens long, {TREE}")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, pattern = Counter(shared.value[0]), re.compile(shared.value[1])
+        counter, pattern = Counter.kept(shared.value[0]), re.compile(shared.value[1])
         for whole in batches:
             for cut in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(cut, ROWS)
@@ -315,14 +335,14 @@ def apply_edits(trees: DataFrame, vocabulary_path: str, edits_col: str = "edits"
     n_reencoded, n_pretokens_after, n_tokens_after, n_read and, with
     ``keep_trees``, n_characters and the updated columns of TREE.
     """
-    shared = trees.sparkSession.sparkContext.broadcast((Vocabulary.load(vocabulary_path), pretoken_pattern()))
+    shared = trees.sparkSession.sparkContext.broadcast((load(vocabulary_path), pretoken_pattern()))
     tree = [c.split()[0] for c in TREE.split(", ")]
     rows = trees.select("doc_id", *tree, F.col(edits_col).cast(EDITS).alias("edits"))
     fields = "doc_id long, " + ", ".join(f"{n} long" for n in [*BEFORE, *AFTER, "n_read"])
     out = StructType.fromDDL(fields + f", n_characters long, {TREE}" * keep_trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, pattern = Counter(shared.value[0]), re.compile(shared.value[1])
+        counter, pattern = Counter.kept(shared.value[0]), re.compile(shared.value[1])
         for whole in batches:
             for cut in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(cut, ROWS)

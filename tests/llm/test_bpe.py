@@ -57,3 +57,24 @@ def test_operator_equals_library(spark, library):
         assert by[i].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert by[i].decoded_sha256 == hashlib.sha256(by[i].decoded.encode()).hexdigest()
     assert bpe.bpe_codec(df.limit(0), PATH).count() == 0
+
+
+def test_other_files_are_refused():
+    import copy
+    import json
+
+    data = json.load(open(PATH, encoding="utf-8"))
+    assert bpe.pretokens_of(data)[0] == "words"
+    assert bpe.pretokens_of(json.load(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8"))) == ("bytes", None)
+
+    def changed(**more):
+        return copy.deepcopy({k: v for k, v in data.items() if k != "model"}) | {"model": {k: v for k, v in data["model"].items() if k not in ("vocab", "merges")}} | more
+
+    bad = [changed(normalizer={"type": "Lowercase"}), changed(pre_tokenizer={"type": "Whitespace"}), changed(model={"type": "WordPiece"})]
+    odd = changed()
+    odd["added_tokens"][0]["lstrip"] = True
+    bare = changed()
+    bare["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = "\\p{L}+"
+    for x in (*bad, odd, bare):
+        with pytest.raises(ValueError):
+            bpe.pretokens_of(x)
