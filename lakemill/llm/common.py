@@ -200,18 +200,6 @@ def unpack_planes(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, len(data) // width).T).view(dtype).reshape(-1)
 
 
-def seen_earlier(keys: list[np.ndarray]) -> list[np.ndarray]:
-    """For each shard's keys, in shard order: does an earlier shard have it?"""
-    if not keys:
-        return []
-    whole = np.concatenate(keys)
-    order = np.argsort(whole, kind="stable")
-    ranked = whole[order]
-    flag = np.zeros(len(whole), bool)
-    flag[order[1:]] = ranked[1:] == ranked[:-1]
-    return np.split(flag, np.cumsum([len(k) for k in keys])[:-1])
-
-
 def ascii_lower_words(text: str) -> list[bytes]:
     """Words of the text, A-Z lowered, as UTF-8 bytes."""
     return text.encode("utf-8", "surrogatepass").lower().split()

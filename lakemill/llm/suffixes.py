@@ -18,7 +18,9 @@ cell is named by the names of its prefixes in order. Cells are sorted by
 (sample, cell) in buckets and adjacent ones compared: a cell that an earlier
 place has is a repeat in whole. Where one sample has cells of several kinds,
 the prefixes of each first cell are sorted and compared one by one in a second
-exchange. Nothing is expanded into pairs; each shard sends a name once.
+exchange. Cells are compared by 128 bits and prefixes by 96, of which 64 and
+32 name the sample: only texts around equal samples could be confused. Nothing
+is expanded into pairs; each shard sends a name once.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import (
-    IDS, M1, M2, cut_by_bucket, distinct, documents, mix, own_ids, pack_planes, pack_sorted, partitions, seen_earlier, unpack_planes, unpack_sorted, with_range_shard,
+    IDS, M1, M2, cut_by_bucket, documents, mix, own_ids, pack_planes, pack_sorted, partitions, unpack_planes, unpack_sorted, with_range_shard,
 )
 
 LENGTH = 100
@@ -126,18 +128,17 @@ class Shard:
         join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
         self.anchor, self.kind = join(anchors, np.uint64), join(kinds, np.uint64)
         self.first, self.size = join(firsts, np.int64), join(sizes, np.int64)
-        order = np.lexsort((self.kind, self.anchor))
-        a, k = self.anchor[order], self.kind[order]
-        fresh = np.ones(len(a), bool)
-        fresh[1:] = (a[1:] != a[:-1]) | (k[1:] != k[:-1])
-        self.keys = (a[fresh], k[fresh])  # distinct, sorted
-        self.inverse = np.empty(len(a), np.int64)
+        order, fresh = ranked(self.anchor, self.kind)
+        heads = order[fresh]
+        self.keys = (self.anchor[heads], self.kind[heads])  # distinct, sorted
+        self.inverse = np.empty(len(order), np.int64)
         self.inverse[order] = np.cumsum(fresh) - 1
-        self.leader = np.zeros(len(a), bool)  # first of its kind in the shard: lexsort is stable
+        self.leader = np.zeros(len(order), bool)  # first of its kind in the shard
         self.leader[order[fresh]] = True
 
-    def open_prefixes(self, external: np.ndarray, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Repeated cells; and places and names of the prefixes left to compare."""
+    def open_prefixes(self, external: np.ndarray, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Repeated cells; and of the prefixes left to compare the places, names
+        and upper halves of their samples' names (a name in 96 bits)."""
         repeat = external[self.inverse] | ~self.leader
         open_ = ~repeat & mixed[self.inverse]
         wanted = np.zeros(len(self.data) + 1, np.int32)
@@ -150,8 +151,10 @@ class Shard:
             places.append(here + at)
             found.append(names[here])
         if not places:
-            return repeat, np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        return repeat, np.concatenate(places), np.concatenate(found)
+            return repeat, np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        places = np.concatenate(places)
+        cell = np.searchsorted(self.first, places, side="right") - 1
+        return repeat, places, np.concatenate(found), (self.anchor[cell] >> S32).astype(np.uint32)
 
     def removed(self, repeat: np.ndarray, places: np.ndarray, again: np.ndarray) -> np.ndarray:
         """Mask of the bytes that repeated prefixes cover."""
@@ -163,6 +166,15 @@ class Shard:
         return np.cumsum(edge[:-1]) > 0
 
 
+def ranked(names: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order of (name, more) pairs, and which of the ordered are the first of theirs."""
+    order = np.lexsort((more, names))
+    n, m = names[order], more[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (n[1:] != n[:-1]) | (m[1:] != m[:-1])
+    return order, fresh
+
+
 def _bits(flags: np.ndarray) -> bytes:
     return np.packbits(flags).tobytes()
 
@@ -236,19 +248,26 @@ def suffix_array_dedup(
         shard.cells()
         answers = answers.sort_values("bucket")
         earlier, mixed = read(answers, "earlier"), read(answers, "mixed")
-        _, _, names = shard.open_prefixes(earlier, mixed)
-        names = distinct(names)
+        _, _, names, more = shard.open_prefixes(earlier, mixed)
+        order, fresh = ranked(names, more)
+        names, more = names[order[fresh]], more[order[fresh]]
         ends = cut_by_bucket(names, buckets)
         # what the shard has learned goes along, to come back with the answers
         out = [(number % buckets, number, True, len(earlier), _bits(earlier), _bits(mixed))]
-        out += [(b, number, False, hi - lo, pack_sorted(names[lo:hi]), None) for b, (lo, hi) in enumerate(zip(ends, ends[1:])) if hi > lo]
+        out += [(b, number, False, hi - lo, pack_sorted(names[lo:hi]), pack_planes(more[lo:hi])) for b, (lo, hi) in enumerate(zip(ends, ends[1:])) if hi > lo]
         return pd.DataFrame(out, columns=columns)
 
     def compare_prefixes(batch: pd.DataFrame) -> pd.DataFrame:
         own = batch[batch["own"]]
         rest = batch[~batch["own"]].sort_values("shard")
-        flags = seen_earlier([unpack_sorted(k) for k in rest["earlier"]])
-        return pd.concat([own, rest.assign(earlier=[_bits(f) for f in flags])])
+        if not len(rest):
+            return own
+        names = np.concatenate([unpack_sorted(k) for k in rest["earlier"]])
+        order, fresh = ranked(names, np.concatenate([unpack_planes(m, "<u4") for m in rest["mixed"]]))
+        earlier = np.zeros(len(names), bool)
+        earlier[order] = ~fresh
+        flags = np.split(earlier, np.cumsum(rest["n"])[:-1])
+        return pd.concat([own, rest.assign(earlier=[_bits(f) for f in flags], mixed=None)])
 
     def finish(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         columns = ["doc_id", "no_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
@@ -259,10 +278,12 @@ def suffix_array_dedup(
         shard = Shard(batch, length)
         shard.cells()
         own = answers[answers["own"]]
-        repeat, places, names = shard.open_prefixes(read(own, "earlier"), read(own, "mixed"))
-        keys, first, inverse = np.unique(names, return_index=True, return_inverse=True)
+        repeat, places, names, more = shard.open_prefixes(read(own, "earlier"), read(own, "mixed"))
+        order, fresh = ranked(names, more)
         external = read(answers[~answers["own"]].sort_values("bucket"), "earlier")
-        again = external[inverse] | (np.arange(len(names)) != first[inverse]) if len(names) else np.zeros(0, bool)
+        again = np.zeros(len(names), bool)
+        if len(names):
+            again[order] = external[np.cumsum(fresh) - 1] | ~fresh
         mask = shard.removed(repeat, places, again)
         out, start = [], 0
         for doc, none, stop in zip(shard.rows["doc_id"], shard.rows["no_id"], shard.ends.tolist()):

@@ -21,16 +21,6 @@ def test_packing_round_trips(xs):
     assert all((common.bucket_of(keys[a:b], 7) == i).all() for i, (a, b) in enumerate(zip(ends, ends[1:])))
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(KEYS, max_size=5))
-def test_seen_earlier(lists):
-    keys = [common.distinct(np.array(x, np.uint64)) for x in lists]
-    seen: set[int] = set()
-    for k, flags in zip(keys, common.seen_earlier(keys)):
-        assert flags.tolist() == [x in seen for x in k.tolist()]
-        seen |= set(k.tolist())
-
-
 def test_range_shards_keep_order_and_share_text(spark):
     rows = [(i, "x" * (4_000 if i % 50 == 0 else 20)) for i in range(3_000)] + [(None, "x"), (7, "y"), (7, "z")]
     docs = common.documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
