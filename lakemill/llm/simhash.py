@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from lakemill.llm.common import IDS, ascii_lower_words, bucket_of, checkpointed, documents, mix, own_id
 
 SEED = 42
-BUCKET_BYTES = 4_000_000
+BUCKET_BYTES = 16_000_000  # variants of one projection in a bucket
+SENT = 60_000  # fingerprints whose variants are sent at once
 BLOCK = 16
 LOW = np.uint64((1 << BLOCK) - 1)
 NEAR = np.array([1 << i for i in range(BLOCK)], np.uint64)
@@ -136,8 +137,8 @@ def near_links(distinct: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             whole = batch["fp"].to_numpy(np.int64).view(np.uint64)
-            for cut in range(0, len(whole), 20_000):
-                fp = whole[cut : cut + 20_000]
+            for cut in range(0, len(whole), SENT):
+                fp = whole[cut : cut + SENT]
                 for block in range(4):
                     base = rotate(fp, block)
                     flips = np.array([0, *(1 << i for i in range(BLOCK, 64))], np.uint64)
