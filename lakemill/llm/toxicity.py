@@ -174,9 +174,13 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, s: FtrlSettings = FtrlSetting
 
     The model is that of :func:`toxicity`; rows are judged one by one, so
     null and repeated ids need no care; a null text scores as an empty one.
+    Without a labelled example there is nothing to judge by, and all stay.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).alias("label")).where(crc_mod(F.col("doc_id"), folds) != 0)
-    shared = docs.sparkSession.sparkContext.broadcast(train_model(documents(docs, text_col=text_col), known, s))
+    model = train_model(documents(docs, text_col=text_col), known, s)
+    if not len(model[0]) and not model[2]:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         import pyarrow as pa

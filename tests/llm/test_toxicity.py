@@ -98,3 +98,4 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in tox.toxicity(docs, labels, S).collect()} == {0.5}
     assert tox.toxicity(docs.limit(0), labels, S).count() == 0
+    assert tox.drop_toxic(docs, labels, S).count() == 2
