@@ -28,17 +28,19 @@ from pyspark.sql import functions as F
 
 from lakemill.llm.common import IDS, checkpointed, documents, own_ids
 
-def char_class(prop: str) -> str:
+LATIN_END = "\u0250"
+
+
+def char_class(prop: str, below: int = 0x110000) -> str:
     """The inside of a regex class for ``prop`` as the tokenizer library's engine
     knows it (its Unicode version may differ from Python's)."""
     from tokenizers import Regex, pre_tokenizers
 
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    every = "".join(chr(c) for c in range(below) if not 0xD800 <= c < 0xE000)
     runs = pre_tokenizers.Split(Regex(prop + "+"), "removed", invert=True).pre_tokenize_str(every)
     return "".join(f"\\U{ord(r[0]):08x}-\\U{ord(r[-1]):08x}" for r, _ in runs)
 
 
-LATIN_END = "\u0250"
 SIEVE = 1 << 20  # bits of the sieve before a lexicon
 SHIFT = 20  # bits of a token id
 MASK, NONE = (1 << SHIFT) - 1, 1 << 62
@@ -74,11 +76,25 @@ def normalized(word: str) -> str:
 
 
 @functools.cache
-def classes() -> dict[str, str]:
-    return {p: char_class(p) for p in (r"\p{L}", r"\p{N}", r"\s")}
+def classes(narrow: bool = False) -> dict[str, str]:
+    """Insides of the classes that patterns name; ``narrow`` ones are for text
+    below LATIN_END only, and much faster."""
+    return {p: char_class(p, ord(LATIN_END) if narrow else 0x110000) for p in (r"\p{L}", r"\p{N}", r"\s")}
+
+
+class Finder:
+    """All pre-tokens of a text, by the narrow form of a pattern where it will do."""
+
+    WIDE = re.compile(f"[^\\x00-{chr(ord(LATIN_END) - 1)}]").search
+
+    def __init__(self, pattern: str, narrow: str):
+        self.full, self.narrow = re.compile(pattern).findall, re.compile(narrow).findall
+
+    def __call__(self, text: str) -> list[str]:
+        return (self.full if self.WIDE(text) else self.narrow)(text)
 
 
-def own_regex(pattern: str) -> str:
+def own_regex(pattern: str, narrow: bool = False) -> str:
     """A file's pre-token pattern for Python's engine: letters, digits and white
     space, which must stand in brackets, as the library knows them."""
     out, at, inside = [], 0, False
@@ -87,7 +103,7 @@ def own_regex(pattern: str) -> str:
         if name is None and pattern[at] == "\\" or name is not None and not inside:
             raise ValueError(f"unsupported pre-token pattern: {pattern}")
         inside = pattern[at] == "[" or inside and pattern[at] != "]"
-        out.append(classes()[name] if name else pattern[at])
+        out.append(classes(narrow)[name] if name else pattern[at])
         at += len(name or "x")
     return "".join(out)
 
@@ -115,7 +131,8 @@ def pretokens_of(data: dict) -> tuple[str, str | None]:
     if before.get("normalizers") == WORD_STEPS and len(steps) == 2 and byte_level(steps[1], False):
         cut = steps[0]
         if cut.get("type") == "Split" and cut.get("behavior") == "Removed" and cut.get("invert") and "Regex" in cut["pattern"]:
-            return "words", own_regex(cut["pattern"]["Regex"])
+            own_regex(cut["pattern"]["Regex"])
+            return "words", cut["pattern"]["Regex"]
     raise ValueError("unsupported tokenizer file: normalizer or pre-tokenizer")
 
 
@@ -124,7 +141,8 @@ class Vocabulary:
 
     def __init__(self, data: dict):
         model = data["model"]
-        self.kind, self.pretoken = pretokens_of(data)
+        self.kind, pattern = pretokens_of(data)
+        self.patterns = (own_regex(pattern), own_regex(pattern, True)) if pattern else ()
         self.ids: dict[str, int] = model["vocab"]
         self.end: str = model.get("end_of_word_suffix") or ""
         self.special: dict[str, int] = {t["content"]: t["id"] for t in data["added_tokens"]}
@@ -277,7 +295,7 @@ class Codec:
 
     def __init__(self, vocabulary: Vocabulary, block: bytes | None = None):
         self.vocabulary, self.lexicon = vocabulary, Lexicon(block) if block else None
-        self.find = re.compile(vocabulary.pretoken).findall
+        self.find = Finder(*vocabulary.patterns)
         self.decimal = [str(i) for i in range(max(vocabulary.tokens) + 1)]
         self.token = [vocabulary.tokens.get(i, "") for i in range(len(self.decimal))]
         #: words, and the pre-tokens they consist of, to ids in decimal and decoded text
@@ -362,7 +380,7 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_words: int) -
             break
         least = r["level"]
     top = words.where(F.col("level") >= least).collect() if least is not None else []
-    find = re.compile(vocabulary.pretoken).findall
+    find = Finder(*vocabulary.patterns)
     pretokens = {p for r in top for p in find(normalized(r["word"]))}
     return compile_lexicon({p: vocabulary.merge(p) for p in pretokens})
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakemill.llm.bpe import Memo, Vocabulary, classes
+from lakemill.llm.bpe import Finder, Memo, Vocabulary, classes
 from lakemill.llm.common import shared_folder
 
 LEAF = 64
@@ -35,8 +35,8 @@ ROWS = 1_000  # rows of a batch given back at once
 
 
 @functools.cache
-def pretoken_pattern() -> str:
-    letter, digit, space = classes().values()
+def pretoken_pattern(narrow: bool = False) -> str:
+    letter, digit, space = classes(narrow).values()
     # Fixed value: the byte-level pre-token pattern of the vocabulary. Words and numbers, which are
     # most, are tried before contractions, which begin with neither.
     return f" ?[{letter}]+| ?[{digit}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{space}{letter}{digit}]+|[{space}]+(?![^{space}])|[{space}]+"
@@ -117,6 +117,14 @@ def sums_of(rows: np.ndarray) -> np.ndarray:
     return sums
 
 
+class Pretokens(Finder):
+    """Finds all pre-tokens of a text, or the one at a place."""
+
+    def __init__(self, pattern: str, narrow: str):
+        super().__init__(pattern, narrow)
+        self.match = re.compile(pattern).match
+
+
 class DocumentTree:
     """Segment tree over one document's pre-tokens; ``edit`` keeps it right.
 
@@ -124,14 +132,14 @@ class DocumentTree:
     when one is first needed; ``read`` counts the characters so opened.
     """
 
-    def __init__(self, leaves: list, sums: np.ndarray, pattern: re.Pattern, counter: Counter, stored=None):
+    def __init__(self, leaves: list, sums: np.ndarray, pattern: Pretokens, counter: Counter, stored=None):
         self.leaves, self.sums, self.size = leaves, sums, len(sums) // 2
         self.pattern, self.counter, self.stored = pattern, counter, stored
         self.encoded = self.read = 0
 
     @classmethod
-    def of_text(cls, text: str, pattern: re.Pattern, counter: Counter) -> DocumentTree:
-        pieces = pattern.findall(text)
+    def of_text(cls, text: str, pattern: Pretokens, counter: Counter) -> DocumentTree:
+        pieces = pattern(text)
         leaves = leaves_of(text, pieces, counter.of(pieces))
         return cls(leaves, sums_of(np.array([x.sums for x in leaves], np.int64).reshape(-1, 3)), pattern, counter)
 
@@ -308,14 +316,14 @@ def _packed_trees(trees: list[DocumentTree], stored: list[pa.Array] | None = Non
 def build_trees(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """A tree for every whole text: doc_id, ``carry``, n_characters,
     n_pretokens, n_tokens and the columns of TREE. Null texts are empty."""
-    shared = docs.sparkSession.sparkContext.broadcast((load(vocabulary_path), pretoken_pattern()))
+    shared = docs.sparkSession.sparkContext.broadcast((load(vocabulary_path), (pretoken_pattern(), pretoken_pattern(True))))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *carry)
     names = [c for c in rows.columns if c != "text"]
     schema = rows.drop("text").schema
     out = StructType([*schema, *StructType.fromDDL(f"n_characters long, n_pretokens long, n_tokens long, {TREE}")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, pattern = Counter.kept(shared.value[0]), re.compile(shared.value[1])
+        counter, pattern = Counter.kept(shared.value[0]), Pretokens(*shared.value[1])
         for whole in batches:
             for cut in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(cut, ROWS)
@@ -335,14 +343,14 @@ def apply_edits(trees: DataFrame, vocabulary_path: str, edits_col: str = "edits"
     n_reencoded, n_pretokens_after, n_tokens_after, n_read and, with
     ``keep_trees``, n_characters and the updated columns of TREE.
     """
-    shared = trees.sparkSession.sparkContext.broadcast((load(vocabulary_path), pretoken_pattern()))
+    shared = trees.sparkSession.sparkContext.broadcast((load(vocabulary_path), (pretoken_pattern(), pretoken_pattern(True))))
     tree = [c.split()[0] for c in TREE.split(", ")]
     rows = trees.select("doc_id", *tree, F.col(edits_col).cast(EDITS).alias("edits"))
     fields = "doc_id long, " + ", ".join(f"{n} long" for n in [*BEFORE, *AFTER, "n_read"])
     out = StructType.fromDDL(fields + f", n_characters long, {TREE}" * keep_trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, pattern = Counter.kept(shared.value[0]), re.compile(shared.value[1])
+        counter, pattern = Counter.kept(shared.value[0]), Pretokens(*shared.value[1])
         for whole in batches:
             for cut in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(cut, ROWS)
