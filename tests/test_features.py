@@ -85,6 +85,38 @@ def test_plugged_scorer(spark):
     assert got["a"].hf_computed_sentiment == -0.75 and got["b"].hf_sentiment_label is None and got["c"].hf_emotion_label is None
 
 
+def test_a_real_package_takes_a_scorer_place(spark):
+    """Sentiment and entities by the regex package, in place of the native ones, through the feature groups."""
+    pytest.importorskip("regex")
+
+    def sentiment():
+        import regex
+
+        good, bad = regex.compile(r"\b(?:good|great|súper)\b", regex.I), regex.compile(r"\b(?:bad|awful)\b", regex.I)
+
+        def one(text):
+            p, n, words = len(good.findall(text)), len(bad.findall(text)), max(1, len(text.split()))
+            return {"vader_sentiment_score": (p - n) / max(1, p + n), "vader_pos": p / words, "vader_neu": 1 - (p + n) / words, "vader_neg": n / words}
+
+        return one
+
+    def entities():
+        import regex
+
+        name = regex.compile(r"\p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+")
+        return lambda text: {"person_count": len(name.findall(text)), "location_count": 0, "product_count": 0}
+
+    plugged = scorers.pandas_scorer("regex", ", ".join(f"{c} double" for c in scorers.LexiconSentiment.columns), sentiment)
+    names = scorers.pandas_scorer("regex", ", ".join(f"{c} long" for c in scorers.RuleEntities.columns), entities)
+    df = spark.createDataFrame([("a", "Good food, súper, bad wine. Élan Vital", 5.0), ("b", None, None)], "review_id string, raw_review string, stars double")
+    lex = lexicon.combine(spark.createDataFrame([("good", True)], "term string, hit_positive boolean"))
+    out = features.apply_features(df, lex, ["vader", "entities"], sentiment=plugged, entities=names)
+    assert out.columns == ["review_id", "raw_review", "stars", *features.output_columns(["vader", "entities"])]
+    got = {r.review_id: r for r in out.collect()}
+    assert got["a"].vader_sentiment_score == pytest.approx(1 / 3) and got["a"].vader_pos == pytest.approx(2 / 7) and got["a"].person_count == 1
+    assert (got["b"].vader_neu, got["b"].person_count, got["b"].stars) == (1.0, 0, None)
+
+
 def test_validation(spark):
     ok = spark.createDataFrame([("a",), ("b",)], "review_id string")
     assert validate.validate_bronze(ok, "review", "review_id") == 2
@@ -177,3 +209,43 @@ def test_owned_columns_are_replaced_for_every_document(spark, tmp_path):
         words = re.findall("[a-z']+", t or "")
         want.append(math.floor(sum(map(positive, words)) / max(1, len(words)) * 1e4 + 0.5) / 1e4)
     assert [got[i].raw_review for i in range(6)] == texts and [got[i].vader_pos for i in range(6)] == want and any(want)
+
+
+def test_numbers_of_the_input_stay_null(spark):
+    rows = [("a", "good words", None, None), ("b", None, 4.0, 2), ("c", "x", 2.0, None)]
+    df = spark.createDataFrame(rows, "review_id string, raw_review string, stars double, useful long").withColumn("review_date", F.lit("2020-01-01"))
+    lex = lexicon.combine(spark.createDataFrame([("good", True)], "term string, hit_positive boolean"))
+    got = {r.review_id: r for r in features.apply_features(df, lex).collect()}
+    assert [(got[k].stars, got[k].useful, got[k].weighted_star) for k in "abc"] == [(None, None, None), (4.0, 2, 4.0), (2.0, None, 2.0)]
+    assert [got[k].positive_count for k in "abc"] == [1, 0, 0]
+
+
+def test_forecast_is_least_squares_on_differences(spark):
+    """The same by normal equations solved with elimination, month by month."""
+    import datetime
+    import random
+
+    r, y, d = random.Random(4), [3.0], [0.05, -0.1, 0.08, 0.02, -0.04]
+    for _ in range(40):
+        d.append(0.4 * d[-1] - 0.2 * d[-2] + 0.1 * d[-5] + r.uniform(-0.03, 0.03))
+    for x in d:
+        y.append(y[-1] + x)
+    months = [datetime.date(2020 + i // 12, i % 12 + 1, 1) for i in range(len(y))]
+    series = spark.createDataFrame(list(zip(months, y)), "month date, value double")
+    got = [x for x in analytics.forecast(series, 6).orderBy("month").collect() if x.kind == "forecast"]
+    rows = [(d[i - 5 : i][::-1], d[i]) for i in range(5, len(d))]
+    a = [[sum(x[i] * x[j] for x, _ in rows) for j in range(5)] + [sum(x[i] * t for x, t in rows)] for i in range(5)]
+    for i in range(5):
+        a[i] = [v / a[i][i] for v in a[i]]
+        for j in range(5):
+            if j != i:
+                a[j] = [v - a[j][i] * u for v, u in zip(a[j], a[i])]
+    w, last, level, want = [x[5] for x in a], d[-5:], y[-1], []
+    for _ in range(6):
+        step = sum(p * q for p, q in zip(w, last[::-1]))
+        last, level = [*last[1:], step], level + step
+        want.append(min(5.0, max(1.0, level)))
+    assert [x.value for x in got] == pytest.approx(want, abs=1e-6)
+    assert [x.month for x in got][0] == datetime.date(2023, 11, 1)
+    short = analytics.forecast(series.limit(11), 3).where("kind = 'forecast'").collect()
+    assert len({x.value for x in short}) == 1

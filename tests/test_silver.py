@@ -61,3 +61,34 @@ def test_joined_scan_and_prepared(spark, tmp_path):
     assert row.id == 1 and row.text == 'two\nlines "quoted"'
     with pytest.raises(ValueError):
         bronze.read_prepared(spark, "x", "orc")
+
+
+def test_the_least_row_of_a_key_stays(spark):
+    rows = [("k", 2, "a"), ("k", 1, "z"), ("k", 1, "b"), ("n", None, "x"), ("n", 0, "x"), (None, 1, "p"), (None, 1, "q")]
+    for n in (1, 4):
+        df = spark.createDataFrame(rows, "k string, v int, t string").repartition(n)
+        got = silver.one_per_key(df, "k")
+        assert got.columns == df.columns and sorted(map(tuple, got.collect()), key=str) == sorted([("k", 1, "b"), ("n", None, "x"), (None, 1, "p")], key=str)
+    assert silver.one_per_key(spark.createDataFrame(rows, "k string, v int, t string").select("k"), "k").count() == 3
+
+
+def test_unique_sides_are_not_shuffled_by_their_keys(spark):
+    reviews, places, users = fixture(spark)
+    plain = silver.build_silver(reviews.dropDuplicates(), places, users).orderBy("review_id").collect()
+    known = silver.build_silver(reviews.dropDuplicates(), places, users, unique=silver.KEYS)
+    assert known.orderBy("review_id").collect() == plain
+    assert "Aggregate" not in silver.silver_side(places, "business", unique=True)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hash_order_is_that_of_chained_xxhash64(spark):
+    """The sample that no SQL twin covers, by another implementation of the hash."""
+    import struct
+
+    import xxhash
+
+    ids = [f"r{i}" for i in range(300)] + ["", "é"]
+    df = spark.createDataFrame([(i,) for i in ids], "review_id string")
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    first = xxhash.xxh64_intdigest(struct.pack("<i", 42), 42)
+    want = sorted(ids, key=lambda i: (signed(xxhash.xxh64_intdigest(i.encode(), first)), i))[:25]
+    assert {r.review_id for r in silver.sample_by_hash(df, 25, 42).collect()} == set(want)
