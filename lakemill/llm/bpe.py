@@ -22,9 +22,10 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakemill.llm.common import IDS, checkpointed, documents, own_ids
 
@@ -41,6 +42,7 @@ def char_class(prop: str, below: int = 0x110000) -> str:
     return "".join(f"\\U{ord(r[0]):08x}-\\U{ord(r[-1]):08x}" for r, _ in runs)
 
 
+ROWS = 1_000  # texts handled at once
 SIEVE = 1 << 20  # bits of the sieve before a lexicon
 SHIFT = 20  # bits of a token id
 MASK, NONE = (1 << SHIFT) - 1, 1 << 62
@@ -350,18 +352,22 @@ class Codec:
 def count_words(docs: DataFrame) -> DataFrame:
     """word, n: counts over all texts, summed per task before the shuffle."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def packed(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch["text"]:
-                seen.update(split_words(text))
-                if len(seen) > 300_000:
-                    yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
-                    seen.clear()
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                for text in whole.column("text").slice(at, ROWS).to_pylist():
+                    seen.update(split_words(text))
+                    if len(seen) > 300_000:
+                        yield packed(seen)
+                        seen.clear()
         if seen:
-            yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+            yield packed(seen)
 
-    return docs.select("text").mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_words: int) -> bytes:
@@ -402,21 +408,21 @@ def bpe_codec(
     if vocabulary.kind != "words":
         raise ValueError("the codec needs a file that splits words")
     shared = rows.sparkSession.sparkContext.broadcast((vocabulary, build_lexicon(rows, vocabulary, lexicon_words)))
-    schema = f"{IDS}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
+    schema = StructType.fromDDL(f"{IDS}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids)
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(*shared.value)
-        for batch in batches:
-            out: dict[str, list] = {k.split()[0]: [] for k in schema.split(", ")}
-            out |= {"doc_id": batch["doc_id"], "no_id": batch["no_id"]}
-            for text in batch["text"]:
-                ids, decoded = codec.both(text)
-                out["n_tokens"].append(ids.count(" ") + 1 if ids else 0)
-                out["ids_sha256"].append(hashlib.sha256(ids.encode()).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):  # few texts at once are Python strings
+                batch = whole.slice(at, ROWS)
+                done = [codec.both(text) for text in batch.column("text").to_pylist()]
+                columns = [
+                    batch.column("doc_id"), batch.column("no_id"), pa.array([ids.count(" ") + 1 if ids else 0 for ids, _ in done], pa.int64()),
+                    pa.array([digest(ids) for ids, _ in done], pa.string()), pa.array([digest(text) for _, text in done], pa.string()),
+                ]
                 if keep_ids:
-                    out["ids"].append([*map(int, ids.split())])
-                    out["decoded"].append(decoded)
-            yield pd.DataFrame(out)
+                    columns += [pa.array([[*map(int, ids.split())] for ids, _ in done], pa.list_(pa.int32())), pa.array([text for _, text in done], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return own_ids(rows.mapInPandas(run, schema))
+    return own_ids(rows.mapInArrow(run, schema))

@@ -50,12 +50,14 @@ def document_counts(docs: DataFrame, width: int = 5) -> DataFrame:
             "word_chars": F.length(F.array_join("words", "")).cast("long"),
             "n_symbols": (F.length("text") - F.length(F.regexp_replace("text", "[#*$%&|<>]+", ""))).cast("long"),
             "lines": lines,
-            "hashes": F.when(
-                F.size("words") > width,
-                F.transform(F.sequence(F.lit(1), F.size("words") - (width - 1)), lambda i: F.xxhash64(F.slice("words", i, width))),
-            ).otherwise(F.array().cast("array<bigint>")),
+            "marks": F.transform("words", lambda x: F.xxhash64(x)),
         }
     ).drop("words", "text")
+    # each word is hashed once; a window is the hash of its words' hashes. As marks are named more
+    # than once, the optimiser does not compute them anew for each window.
+    windows = F.transform("marks", lambda x, i: F.xxhash64(x, *[F.get("marks", i + k) for k in range(1, width)]))
+    whole = F.slice(windows, 1, F.size("marks") - (width - 1))
+    step = step.withColumn("hashes", F.when(F.size("marks") > width, whole).otherwise(F.array().cast("array<bigint>"))).drop("marks")
     step = step.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
     step = step.withColumn("lines", _content_lines(F.col("lines")))
     step = step.withColumn(
