@@ -37,9 +37,11 @@ def lexicon_features(df: DataFrame, lexicon: DataFrame, key: str = "review_id",
     Tokens without an entry count only as tokens. Rows whose text is NULL or
     has no token get zeros and 'neutral'; columns of ``df`` stay as they are.
     """
-    small = lexicon.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    small = lexicon.limit(BROADCAST_TERMS + 1).toArrow()  # at most so many rows reach the driver, once
+    if small.num_rows <= BROADCAST_TERMS:
+        lexicon = F.broadcast(df.sparkSession.createDataFrame(small, lexicon.schema))
     token = df.select(key, F.explode(tokens(F.coalesce(F.col(text_col), F.lit("")))).alias("term"))
-    met = token.join(F.broadcast(lexicon) if small else lexicon, "term", "left")
+    met = token.join(lexicon, "term", "left")
     count = lambda c: F.count(F.when(F.col(c), 1))
     per = met.groupBy(key).agg(
         F.count("*").alias("__n"),
