@@ -161,7 +161,7 @@ for _name, _columns in {
 for _name, _columns in {
     "t11_dominant_emotion": ("dominant_emotion",), "t12_vad": ("Valence_avg", "Arousal_avg", "Dominance_avg", "vad_matched_words"), "t17_worry": ("worry_word_count",),
     "t18_social": tuple(f"wcst_{x}_avg" for x in lexicon.SOCIAL), "t19_affect": ("affect_sentiment_avg", "affect_matched_words"),
-    "t20_intensities": tuple(f"nrc_{e}_lex" for e in labels.EMOTIONS), "t21_lexicon_emotions": ("primary_emotion_lex", "primary_emotion_lex_conf", "secondary_emotion_lex"),
+    "t20_intensities": tuple(f"nrc_{e}_lex" for e in labels.EMOTIONS), "t21_lexicon_emotions": ("primary_emotion_lex", "primary_emotion_lex_conf", "secondary_emotion_lex", "secondary_emotion_lex_conf"),
 }.items():
     add(_name, f"SELECT review_id, {', '.join(_columns)} FROM ({c.LEXICON_SQL + c.LEXICON_SELECT})")(
         lambda spark, d, cols=_columns: c.QUERIES["t10_t21_lexicon_features"](spark, d).select("review_id", *cols)
@@ -234,6 +234,14 @@ def _(spark, d):
     return bronze.read_json(spark, "c_custkey long, c_name string", at)
 
 
+@add("k4_parquet_sink", "SELECT s_suppkey, s_name FROM supplier")
+def _(spark, d):
+    at = c.scratch(spark, "parquet")
+    for _ in range(2):  # the second write replaces the first
+        sinks.write(table(spark, d, "supplier").select("s_suppkey", "s_name"), at, "parquet")
+    return bronze.read_prepared(spark, at, "parquet")
+
+
 @add("k6_run_log", """SELECT '{"metrics": "{\\"rows\\": null}", "run": 1}' AS record_json""")
 def _(spark, d):
     at = c.scratch(spark, "log")
@@ -241,6 +249,13 @@ def _(spark, d):
     return spark.read.json(at)
 
 
+@add("l8_priority_order", c.SUMMARY_SQL + " SELECT gold_variant_value, business_id, row_number() OVER (ORDER BY risk_score DESC, review_count DESC, gold_variant_value, business_id NULLS FIRST) AS place FROM summary ORDER BY place LIMIT 100")
+def _(spark, d):
+    """The list's own order, as its first rows are read."""
+    first = serving.priority_list(c._summary(spark, d)).limit(100).select("gold_variant_value", "business_id").collect()
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(first, 1)], "gold_variant_value string, business_id string, place long")
+
+
 @add("k8_k9_names", "SELECT '`c`.`s`.`t`' AS quoted, 's3://b/x/y' AS joined, true AS refused")
 def _(spark, d):
     try:
