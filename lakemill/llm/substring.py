@@ -21,6 +21,7 @@ window of a passage holds that window's anchor phrase, and is found.
 from __future__ import annotations
 
 import hashlib
+from itertools import compress, product, repeat
 
 import ahocorasick
 import numpy as np
@@ -29,40 +30,54 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from lakemill.llm.common import (
-    IDS, M1, WordHash, cut_by_bucket, distinct, documents, mix, own_ids, pack_planes, pack_sorted, partitions, unpack_planes, unpack_sorted, with_range_shard,
+    IDS, M1, M2, WordHash, cut_by_bucket, distinct, documents, mix, own_ids, pack_planes, pack_sorted, partitions, unpack_planes, unpack_sorted, with_range_shard,
     words_of,
 )
 
 PHRASE = 5
+HALF = np.uint64(32)
 
 
 def runs_hash(h: np.ndarray, width: int) -> np.ndarray:
-    """Fingerprint of each run of ``width`` word hashes, in order."""
+    """Fingerprint of each run of ``width`` word hashes, in order: runs of 1, 2,
+    4 ... words are made from two halves, and the width from some of these."""
     n = len(h) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for i in range(width):
-        out = (out + h[i : i + n]) * M1
-        out ^= out >> np.uint64(32)
-    return mix(out)
+    out, done, run, size = np.zeros(n, np.uint64), 0, h, 1
+    while True:
+        if width & size:
+            out = (out + run[done : done + n]) * M1
+            out ^= out >> HALF
+            done += size
+        if 2 * size > width:
+            return mix(out)
+        run = (run[:-size] * M2 + run[size:]) * M1
+        run ^= run >> HALF
+        size *= 2
+
+
+def windows_of(sizes: list[int], hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of all windows inside one document, and how many each document has."""
+    every = runs_hash(hashes, width)
+    ends = np.cumsum(sizes)
+    inside = np.ones(len(every), bool)
+    for k in range(1, width):  # windows that begin in the last words of a document run over its end
+        at = ends - k
+        inside[at[(at >= 0) & (at < len(every))]] = False
+    counts = np.maximum(np.array(sizes, np.int64) - (width - 1), 0)
+    return every[inside], counts
 
 
 def word_codes(number: dict[bytes, int]) -> dict[bytes, str]:
     """Words as strings of one length in a small alphabet, which keeps the
     automaton's nodes narrow. First letters are capitals, so that matches
     begin where words do."""
-    base, wide = 24, 1
-    while base**wide < len(number):
+    wide = 1
+    while 24**wide < len(number):
         wide += 1
-    out = {}
-    for w, i in number.items():
-        digits = []
-        for _ in range(wide):
-            i, x = divmod(i, base)
-            digits.append(x)
-        out[w] = chr(65 + digits[0]) + "".join([chr(97 + x) for x in digits[1:]])
-    return out
+    letters = [chr(65 + i) for i in range(24)], *[[chr(97 + i) for i in range(24)]] * (wide - 1)
+    return dict(zip(number, map("".join, product(*letters))))
 
 
 def same_words(run: str, at: int, line: str, here: int, most: int, wide: int, ahead: bool) -> int:
@@ -107,17 +122,22 @@ class Shard:
         memo = WordHash()
         self.rank, self.width = rank[order], width
         self.words = [words_of(batch["text"].iat[i]) for i in order]
-        windows = [runs_hash(memo.of(w), width) for w in self.words]
-        sizes = [len(w) for w in windows]
-        self.start = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        self.owner = np.repeat(np.arange(len(windows), dtype=np.int32), sizes)
-        self.keys, self.first, self.inverse = np.unique(np.concatenate(windows), return_index=True, return_inverse=True)
+        every, counts = windows_of([*map(len, self.words)], memo.of([w for words in self.words for w in words]), width)
+        self.start = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+        self.owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        self.order = np.argsort(every)
+        ranked = every[self.order]
+        fresh = np.ones(len(ranked), bool)
+        fresh[1:] = ranked[1:] != ranked[:-1]
+        self.heads = np.nonzero(fresh)[0]  # of each distinct window, in the order
+        self.first = np.minimum.reduceat(self.order, self.heads) if len(ranked) else self.order  # its first place
 
     def repeated_inside(self, external: np.ndarray) -> np.ndarray:
         """Places of the windows that a later document of the shard has too and
         no earlier shard supplies."""
-        last = np.zeros(len(self.keys), np.int64)
-        np.maximum.at(last, self.inverse, self.rank[self.owner])
+        if not len(self.order):
+            return self.order
+        last = np.maximum.reduceat(self.rank[self.owner][self.order], self.heads)
         return np.sort(self.first[~external & (last > self.rank[self.owner[self.first]])])
 
     def passages(self, places: np.ndarray, targets: np.ndarray) -> list[tuple[int, int, bytes]]:
@@ -165,12 +185,11 @@ def locate(documents_words: list[list[bytes]], ranks: np.ndarray, passages: list
     for key, at in places.items():
         machine.add_word(key, at)
     machine.make_automaton()
-    code_of = code.get
     for d, words in enumerate(documents_words):
         n = len(words)
         if n < width:
             continue
-        line = "".join([code_of(w, unknown) for w in words])
+        line = "".join(map(code.get, words, repeat(unknown)))
         rank = ranks[d]
         done: dict[int, int] = {}  # diagonal to where it has been read
         for end, where in machine.iter(line):
@@ -182,8 +201,10 @@ def locate(documents_words: list[list[bytes]], ranks: np.ndarray, passages: list
                 home, own = passages[p]
                 if home >= rank:
                     continue
-                back = same_words(run, at, line, here, min(at - begin[p], here), wide, False)
-                ahead = same_words(run, at, line, here, min(begin[p] + len(own) - at, n - here), wide, True)
+                back, ahead = min(at - begin[p], here), min(begin[p] + len(own) - at, n - here)
+                if run[(at - back) * wide : (at + ahead) * wide] != line[(here - back) * wide : (here + ahead) * wide]:
+                    back = same_words(run, at, line, here, back, wide, False)
+                    ahead = same_words(run, at, line, here, ahead, wide, True)
                 done[at - here] = here + ahead
                 if back + ahead >= width:
                     removed[d][here - back : here + ahead] = True
@@ -235,8 +256,8 @@ def substring_dedup(
     classes = np.array(kinds, np.int64)
 
     def send(batch: pd.DataFrame) -> pd.DataFrame:
-        memo = WordHash()
-        keys = distinct(np.concatenate([runs_hash(memo.of(words_of(t)), width) for t in batch["text"]]))
+        texts = [words_of(t) for t in batch["text"]]
+        keys = distinct(windows_of([*map(len, texts)], WordHash().of([w for words in texts for w in words]), width)[0])
         ends = cut_by_bucket(keys, buckets)
         out = [(b, int(batch["shard"].iloc[0]), pack_sorted(keys[lo:hi])) for b, (lo, hi) in enumerate(zip(ends, ends[1:])) if hi > lo]
         return pd.DataFrame(out, columns=["bucket", "shard", "keys"])
@@ -287,7 +308,7 @@ def substring_dedup(
         texts = [words_of(t) for t in batch["text"]]
         out = []
         for words, gone in zip(texts, locate(texts, ranks_of(batch), passages, width)):
-            kept = b" ".join([w for w, g in zip(words, gone.tolist()) if not g] if gone.any() else words)
+            kept = b" ".join(compress(words, (~gone).tolist()) if gone.any() else words)
             out.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "surrogatepass") if keep_text else None))
         frame = pd.DataFrame(out, columns=columns[2:])
         return frame.assign(doc_id=batch["doc_id"].to_numpy(), no_id=batch["no_id"].to_numpy())
