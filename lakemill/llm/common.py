@@ -46,6 +46,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete shuffles and checkpoints of finished steps now: Spark does so only
+    after a collection of the driver's memory finds that nothing names them."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more) -> DataFrame:
     """The columns operators work on (and more): doc_id (0 where null), no_id
     and text; a null text counts as empty. :func:`own_ids` puts nulls back."""
