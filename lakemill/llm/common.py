@@ -10,7 +10,9 @@ third of all documents share costs each shard one entry.
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 
 import numpy as np
 import xxhash
@@ -48,7 +50,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Delete shuffles and checkpoints of finished steps now: Spark does so only
-    after a collection of the driver's memory finds that nothing names them."""
+    after a collection of the driver's memory finds that nothing names them.
+    Names that Python drops reach the JVM by a thread of Py4J that may sleep
+    for a second first."""
+    gc.collect()
+    time.sleep(1.2)
     spark.sparkContext._jvm.System.gc()
 
 

@@ -1,10 +1,13 @@
-"""Near copies by the Jaccard similarity of word shingles, verified exactly.
+"""Near copies by SimHash, with bands for what lies beyond its radius; all verified exactly.
 
-MinHash bands find the candidates: texts of similarity s share a band of
+Texts of equal shingle sets are one node. First SimHash: the fingerprints of
+the sets are linked within 3 bits by ball hashing (``simhash.near_links``).
+Texts of similarity 0.8 lie some ten bits apart, out of reach of balls; for
+these, MinHash bands add candidates: texts of similarity s share a band of
 ``ROWS`` minima with probability 1 - (1 - s ** ROWS) ** BANDS, which at 0.8 is
-all but 3 in a million. Texts of equal shingle sets are one node. The nodes of
-a band are compared with one of them (the hub; another for each band), which
-joins a large group by few links. Groups that their hub has not joined into
+all but 3 in a million. Every candidate is verified by the Jaccard similarity
+of the sets, and components are formed over all links. The nodes of a band are compared with one of them (the hub; another
+for each band), which joins a large group by few links. Groups that their hub has not joined into
 one component are split by every further band, and the parts, whose nodes are
 much closer, are compared with two hubs of their own. So the work grows with the
 rows and never with the square of a group; a link can be missed only where two
@@ -23,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import IDS, ascii_lower_words, checkpointed, distinct, documents, own_id, release, row_key
-from lakemill.llm.simhash import SEED, components, shingle_hashes
+from lakemill.llm.simhash import SEED, components, fingerprint, near_links, shingle_hashes
 
 BANDS, ROWS = 32, 5
 CHUNK = 4_096  # shingles hashed at once
@@ -50,21 +53,23 @@ def minima(shingles: np.ndarray, times: np.ndarray, plus: np.ndarray) -> np.ndar
 
 
 def sketches(rows: DataFrame, width: int) -> DataFrame:
-    """row, doc_id, no_id, node (hash of the shingle set) and its band keys for each row of row, doc_id, no_id, text."""
+    """row, doc_id, no_id, node (hash of the shingle set), the set's SimHash and its band keys for each row of row, doc_id, no_id, text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         times, plus = hash_functions()
         digest = xxhash.xxh64_intdigest
         for batch in batches:
-            nodes, bands = np.zeros(len(batch), np.uint64), []
+            nodes, fps, bands = np.zeros(len(batch), np.uint64), np.zeros(len(batch), np.uint64), []
             for i, text in enumerate(batch["text"]):
                 have = shingle_set(text, width)
                 nodes[i] = digest(have.tobytes(), SEED)
+                fps[i] = fingerprint(have)
                 low = minima(have, times, plus).reshape(BANDS, ROWS) if len(have) else np.zeros((0, ROWS), np.uint64)
                 bands.append(np.array([digest(x.tobytes(), b) for b, x in enumerate(low)], np.uint64).view(np.int64))
-            yield pd.DataFrame({"row": batch["row"], "doc_id": batch["doc_id"], "no_id": batch["no_id"], "node": nodes.view(np.int64), "bands": bands})
+            own = {"row": batch["row"], "doc_id": batch["doc_id"], "no_id": batch["no_id"]}
+            yield pd.DataFrame({**own, "node": nodes.view(np.int64), "fp": fps.view(np.int64), "bands": bands})
 
-    return rows.mapInPandas(run, f"row long, {IDS}, node long, bands array<long>")
+    return rows.mapInPandas(run, f"row long, {IDS}, node long, fp long, bands array<long>")
 
 
 def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
@@ -100,6 +105,19 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def close_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes within 3 bits whose closure joins all such: of each
+    fingerprint the smallest node with the others, and those of close fingerprints.
+
+    ``nodes`` has one row per node (columns node and fp).
+    """
+    heads = checkpointed(nodes.groupBy("fp").agg(F.min("node").alias("head")))
+    equal = nodes.join(heads, "fp").where("node != head").select(*_pair("node", "head"))
+    left, right = heads.toDF("a", "x"), heads.toDF("b", "y")
+    near = near_links(heads, direct=True).join(left, "a").join(right, "b").select(*_pair("x", "y"))
+    return equal.union(near).distinct()
+
+
 def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """row, doc_id, node and root for each row of ``docs``.
 
@@ -109,15 +127,21 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
     """
     keyed = documents(docs, id_col, text_col, row_key(id_col, text_col).alias("row"))
     rows = checkpointed(sketches(keyed, width))
-    nodes = rows.dropDuplicates(["node"]).select("node", "row", "bands")
+    close = checkpointed(close_pairs(rows.select("node", "fp").distinct()))
+    release(docs.sparkSession)
+    nodes = rows.dropDuplicates(["node"]).select("node", "bands")
     places = nodes.select("node", F.explode("bands").alias("key"))
     hubs = places.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(F.col("key"))).alias("low"), F.count("*").alias("n")).where("n > 1")
     shared = checkpointed(places.join(hubs, "key").select("key", "node", F.col("low").bitwiseXOR(F.col("key")).alias("hub")))
-    wanted = rows.join(shared.select("node").distinct(), "node").groupBy("node").agg(F.min("row").alias("row"))
+    del nodes, places, hubs  # they name the shuffles of this step
+    release(docs.sparkSession)
+    linked = shared.select("node").union(close.select("a")).union(close.select("b")).distinct()
+    wanted = rows.join(linked, "node").groupBy("node").agg(F.min("row").alias("row"))
     sets = checkpointed(shingle_sets(keyed.join(wanted, "row").select("node", "text"), width).dropDuplicates(["node"]))
 
+    del linked, wanted
     release(docs.sparkSession)
-    tried = checkpointed(shared.where("node != hub").select(*_pair("node", "hub")).distinct())
+    tried = checkpointed(shared.where("node != hub").select(*_pair("node", "hub")).union(close).distinct())
     links = checkpointed(similar(tried, sets, similarity))
     release(docs.sparkSession)
     found = components(links)
@@ -132,8 +156,8 @@ def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col
         homed = parts.join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
         hub = pick(F.struct(F.col("node").bitwiseXOR(F.col("key")).alias("at"), F.col("root").alias("home"))).alias("hub")
         heads = homed.groupBy("key").agg(hub, F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key", "hub.*")
-        apart = homed.join(heads, "key").where("root != home").select("node", F.col("at").bitwiseXOR(F.col("key")).alias("hub"))
-        pairs = checkpointed(apart.select(*_pair("node", "hub")).distinct().join(tried, ["a", "b"], "left_anti"))
+        away = homed.join(heads, "key").where("root != home").select("node", F.col("at").bitwiseXOR(F.col("key")).alias("hub"))
+        pairs = checkpointed(away.select(*_pair("node", "hub")).distinct().join(tried, ["a", "b"], "left_anti"))
         more = checkpointed(similar(pairs, sets, similarity))
         release(docs.sparkSession)
         if not more.isEmpty():

@@ -48,6 +48,14 @@ def shingle_hashes(words: list[bytes], width: int = 3) -> np.ndarray:
     return np.fromiter((digest(whole[a:b], SEED) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist())), np.uint64, len(starts))
 
 
+def fingerprint(h: np.ndarray) -> np.uint64:
+    """The SimHash of shingle hashes: a bit is 1 if set in over half of them."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(h), 8192):
+        ones += np.unpackbits(h[at : at + 8192].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint16)
+    return np.packbits(2 * ones > len(h)).view(">u8")[0]
+
+
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """doc_id, no_id, fp (the 64 bits as a signed long) for each row of :func:`documents`."""
 
@@ -55,11 +63,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
         for batch in batches:
             out = np.zeros(len(batch), np.uint64)
             for i, text in enumerate(batch["text"]):
-                h = shingle_hashes(ascii_lower_words(text), width)
-                ones = np.zeros(64, np.int64)
-                for at in range(0, len(h), 8192):
-                    ones += np.unpackbits(h[at : at + 8192].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint16)
-                out[i] = np.packbits(2 * ones > len(h)).view(">u8")[0]
+                out[i] = fingerprint(shingle_hashes(ascii_lower_words(text), width))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "no_id": batch["no_id"], "fp": out.view(np.int64)})
 
     return docs.select("doc_id", "no_id", "text").mapInPandas(run, f"{IDS}, fp long")
@@ -126,11 +130,34 @@ def union(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def near_links(distinct: DataFrame) -> DataFrame:
+def forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of links that join all that the links (a, b) join, without a cycle."""
+    nodes, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
+    at, i, j = np.arange(len(a)), inverse[: len(a)], inverse[len(a) :]
+    chosen = []
+    while True:
+        cross = i != j
+        at, i, j = at[cross], i[cross], j[cross]
+        if not len(at):
+            return np.concatenate([at, *chosen])
+        first = np.full(len(nodes), len(at))  # the first link out of each part
+        np.minimum.at(first, i, np.arange(len(at)))
+        np.minimum.at(first, j, np.arange(len(at)))
+        took = np.unique(first[first < len(at)])
+        chosen.append(at[took])
+        label = np.arange(len(nodes))
+        part, low = union(i[took], j[took])
+        label[part] = low
+        i, j = label[i], label[j]
+
+
+def near_links(distinct: DataFrame, direct: bool = False) -> DataFrame:
     """Star links (a, b) whose closure joins fingerprints within 3 bits.
 
     ``distinct`` has one row per fingerprint (column fp). A bucket is to hold
-    about ``BUCKET_BYTES`` of variants of one projection.
+    about ``BUCKET_BYTES`` of variants of one projection. Ends of a star link
+    may lie further apart; with ``direct`` all links are of fingerprints
+    within 3 bits, so that each can be verified on its texts.
     """
     buckets = max(1, -(-distinct.count() * 49 * 9 // BUCKET_BYTES))
 
@@ -165,7 +192,12 @@ def near_links(distinct: DataFrame) -> DataFrame:
         fp = rotate(keys ^ flip, (4 - block) % 4)
         a, b = fp[i], fp[j]
         near = (a != b) & (np.bitwise_count(a ^ b) <= 3)
-        node, root = union(a[near], b[near])
+        a, b = a[near], b[near]
+        if direct:
+            kept = forest(a, b)
+            node, root = np.minimum(a[kept], b[kept]), np.maximum(a[kept], b[kept])
+        else:
+            node, root = union(a, b)
         return pd.DataFrame({"a": node.view(np.int64), "b": root.view(np.int64)})
 
     sent = distinct.select("fp").mapInPandas(emit, "bucket int, keys binary, bits binary")

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import xxhash
+
 import corpus_pipeline as cp
 from lakemill.llm import jaccard
 
@@ -85,3 +88,31 @@ def test_each_row_has_its_own_verdict(spark):
     kept = {(x.doc_id, x.text) for x in left}
     assert len(left) == len(kept) == 4 and {rows[0], rows[2], rows[7]} < kept
     assert len(kept & {rows[4], rows[5]}) == 1
+
+
+def test_stage_links_by_simhash(spark, monkeypatch):
+    """Copies within 3 bits go by SimHash, without a band in common; beyond 3 bits the bands are needed."""
+    r = random.Random(14)
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 7))) for _ in range(900)]
+    texts = []
+    for _ in range(30):
+        base = [r.choice(words) for _ in range(600)]
+        texts.append(" ".join(base))
+        for edits in (1, 2, 4, 12):
+            own = list(base)
+            for at in r.sample(range(600), edits):
+                own[at] = r.choice(words)
+            texts.append(" ".join(own))
+    have = [shingles(t) for t in texts]
+    hashes = [[xxhash.xxh64_intdigest(b" ".join(s), 42) for s in x] for x in have]
+    fps = [sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h)) for h in hashes]
+    near = [[j for j, g in enumerate(fps) if (f ^ g).bit_count() <= 3 and similarity(have[i], have[j]) >= 0.8] for i, f in enumerate(fps)]
+    root = list(range(len(texts)))
+    for _ in range(5):
+        root = [min(root[j] for j in near[i]) for i in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = lambda: sorted(x.doc_id for x in cp.drop_near_duplicates(spark, docs, "").collect())
+    assert kept() == sorted(set(groups(texts)))
+    monkeypatch.setattr(jaccard, "minima", lambda have, times, plus: np.bitwise_xor.reduce(have) + np.arange(len(times), dtype=np.uint64))
+    assert kept() == sorted(set(root))
+    assert len(set(groups(texts))) < len(set(root)) < len(texts) - 30

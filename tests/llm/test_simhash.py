@@ -62,3 +62,22 @@ def test_operator(spark):
     want = sorted((str(i), f"{f:016x}", least[k]) for i, f, k in zip(ids, fps, root))
     assert sorted((str(g.doc_id), g.fingerprint, g.component_id) for g in got) == want
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_direct_links_are_close_and_join_all(spark):
+    r = random.Random(9)
+    fps = set()
+    for _ in range(6):
+        x = r.getrandbits(64)
+        for _ in range(25):  # a walk: its ends differ by far more than 3 bits
+            fps.add(x)
+            for b in r.sample(range(64), r.choice([1, 2, 3])):
+                x ^= 1 << b
+    fps = sorted(fps)
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    got = simhash.near_links(spark.createDataFrame([(x,) for x in signed], "fp long"), direct=True).collect()
+    assert all(g.a != g.b and (g.a % 2**64 ^ g.b % 2**64).bit_count() <= 3 for g in got)
+    label = {x: x for x in signed} | {g.node: g.root for g in simhash.components(spark.createDataFrame(got)).collect()}
+    want = closure(fps)
+    groups = lambda names: sorted(sorted(i for i in range(len(fps)) if names[i] == n) for n in set(names))
+    assert groups([label[x] for x in signed]) == groups(want)
