@@ -287,11 +287,12 @@ def _(spark, d):
 
 @add("v3_v5_gates_refuse", "SELECT 'constant' AS fault, true AS refused UNION ALL SELECT 'no decay', true UNION ALL SELECT 'empty', true")
 def _(spark, d):
+    """Through the gate for tables of any size: the one for small tables refuses, by its bound, a table beyond 500,000 rows."""
     f = featured(spark, d).select("stars", "vader_sentiment_score", "weighted_star")
     out = []
     for name, df in (("constant", f.withColumn("vader_sentiment_score", F.lit(0.5))), ("no decay", f.withColumn("weighted_star", F.col("stars"))), ("empty", f.limit(0))):
         try:
-            validate.validate_small(df)
+            validate.validate_silver(df)
             out.append((name, False))
         except AssertionError:
             out.append((name, True))

@@ -46,3 +46,18 @@ def test_query(spark, duck, name):
         order = [names.index(c) for c in columns]
         assert sorted(names) == columns
         assert got == sorted(tuple(plain(r[i]) for i in order) for r in twin.fetchall())
+
+
+def test_gates_refuse_beyond_the_bound_of_small_tables(spark, tmp_path):
+    """v3_v5_gates_refuse has the same rows over a table that validate_small does not take."""
+    from pyspark.sql import functions as F
+
+    for t in TABLES:
+        if t != "orders":
+            os.symlink(f"{DATA}/{t}.parquet", tmp_path / f"{t}.parquet")
+    orders = spark.read.parquet(f"{DATA}/orders.parquet")
+    n, most = orders.agg(F.count("*"), F.max("o_orderkey")).first()
+    copies = spark.range(500_000 // n + 1).withColumnRenamed("id", "i")
+    orders.crossJoin(copies).withColumn("o_orderkey", F.col("o_orderkey") + F.col("i") * (most + 1)).drop("i").write.parquet(str(tmp_path / "orders.parquet"))
+    got = catalog.QUERIES["v3_v5_gates_refuse"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [("constant", True), ("empty", True), ("no decay", True)]
