@@ -1,10 +1,12 @@
-"""Text features as built-in expressions, one late projection for lambdas."""
+"""Text features as built-in expressions; what needs words or patterns is counted in Arrow batches."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.functions import counting
 from lakemill.functions.labels import round4
 
 # Words that negate.
@@ -17,16 +19,21 @@ LINGUISTIC = (
     "stripped_review", "word_count", "char_count", "avg_word_len", "avg_sentence_len", "num_excl", "num_ques", "num_caps", "num_at",
     "num_hash", "sentence_count", "negation_count",
 )
+_COUNTS = ["sentence_count", "num_caps", "negation_count", "__kinds"]
 
 
-# Unicode white space, as an explicit class: the (?U) flag makes every match slow
-_SPACE = "\\s\\x1c-\\x1f\\x85\\p{Z}"
+# Unicode white space as explicit classes ((?U) and \\p{Z} make every match slow); most characters leave one by its first range
+_SPACE = " \\t\\n\\x0b\\f\\r\\x1c\\x1d\\x1e\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_ONE = f"[\\x00- \\x85-\\uffff&&[{_SPACE}]]"
 
 
 def clean(text: Column) -> Column:
     """NULL to '', links to a space, white space collapsed and trimmed."""
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), f"http[^{_SPACE}]+|www\\.[^{_SPACE}]+", " ")
-    return F.trim(F.regexp_replace(bare, f"[{_SPACE}]+", " "))
+    text = F.coalesce(text, F.lit(""))
+    links = F.regexp_replace(text, f"http[^{_SPACE}]+|www\\.[^{_SPACE}]+", " ")
+    bare = F.when(F.contains(text, F.lit("http")) | F.contains(text, F.lit("www.")), links).otherwise(text)
+    # every run but a single plain space, which stays: few matches
+    return F.trim(F.regexp_replace(bare, f"{_ONE}(?:(?<! )|(?={_ONE})){_ONE}*+", " "))
 
 
 def tokens(text: Column) -> Column:
@@ -55,32 +62,20 @@ def linguistic(df: DataFrame, text_col: str = "raw_review") -> DataFrame:
     unfinished rest, at least one: an approximation of a sentence splitter.
     """
     step = df.withColumn("stripped_review", clean(F.col(text_col)))
-    t = F.col("stripped_review")
+    t, count = F.col("stripped_review"), _COUNTS
     step = step.withColumns(
         {
-            "__words": words(t),
+            "__counts": counting.counter(lambda c: counting.linguistic(c, pa.array(NEGATIONS)), count)(t),
+            "word_count": F.when(t == "", F.lit(0)).otherwise(occurrences(t, " ") + 1).cast("long"),
             "char_count": F.length(t).cast("long"),
+            "__letters": (F.length(t) - occurrences(t, " ")).cast("double"),
             "num_excl": occurrences(t, "!"),
             "num_ques": occurrences(t, "?"),
             "num_at": occurrences(t, "@"),
             "num_hash": occurrences(t, "#"),
-            "sentence_count": F.greatest(F.size(F.regexp_extract_all(t, F.lit("[^.!?]+([.!?]+|$)"), 0)), F.lit(1)).cast("long"),
-            "__tokens": tokens(t),
-            # words without a-z: few, so that the exact test below sees few
-            "__capitals": F.regexp_extract_all(t, F.lit("(?<![^ ])([^a-z ]{2,})(?![^ ])"), 1),
-        }
-    )
-    w = F.col("__words")
-    upper = lambda x: (x == F.upper(x)) & (x != F.lower(x)) & (F.length(x) > 1)
-    step = step.withColumns(
-        {
-            "word_count": F.size(w).cast("long"),
-            "num_caps": F.size(F.filter("__capitals", upper)).cast("long"),
-            "negation_count": F.size(F.filter("__tokens", lambda x: x.isin(*NEGATIONS))).cast("long"),
-            "__letters": F.length(F.array_join(w, "")).cast("double"),
-            "__kinds": F.size(F.array_distinct(w)).cast("double"),
         }
     )
+    step = step.withColumns({c: F.col(f"__counts.{c}") for c in count})
     n = F.col("word_count")
     return step.withColumns(
         {
@@ -88,4 +83,9 @@ def linguistic(df: DataFrame, text_col: str = "raw_review") -> DataFrame:
             "avg_sentence_len": mean3(n.cast("double"), F.col("sentence_count")),
             "type_token_ratio": F.when(n == 0, 0.0).otherwise(round4(F.col("__kinds") / n)),
         }
-    ).drop("__words", "__tokens", "__capitals", "__letters", "__kinds")
+    ).drop("__counts", "__letters", "__kinds")
+
+
+def distinct_tokens(df: DataFrame, text_col: str) -> DataFrame:
+    """The tokens of all texts, each once, as ``term``."""
+    return df.select(text_col).mapInArrow(counting.distinct_tokens, "term string").distinct()

@@ -391,8 +391,8 @@ def _slice(i: int) -> str:
 def synthetic_lexicon(spark: SparkSession, d: str) -> DataFrame:
     """Terms of five or fewer letters in the corpus, valued by their md5: a stand-in
     for licensed lexicons, the same in every engine."""
-    token = F.explode(text.tokens(text.clean(F.col("raw_review")))).alias("term")
-    terms = documents_as_reviews(spark, d).select(token).where(F.length("term") <= 5).distinct()
+    docs = documents_as_reviews(spark, d).select(text.clean(F.col("raw_review")).alias("text"))
+    terms = text.distinct_tokens(docs, "text").where(F.length("term") <= 5)
     part = lambda i: F.conv(F.substring(F.md5(F.col("term").cast("binary")), i, 3), 16, 10).cast("int")
     unit = lambda i: (part(i) % 129 - 64) / F.lit(64.0)
     kind = part(1) % 10
