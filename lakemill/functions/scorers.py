@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakemill.functions import counting
 from lakemill.functions.labels import round4
 
 
@@ -52,7 +53,8 @@ class RuleEntities:
     patterns = ("\\b[A-Z][a-z]+ [A-Z][a-z]+\\b", "\\b(?:in|at|near|from) [A-Z][a-z]+", "\\b[A-Z][A-Za-z]*[0-9]+\\b")
 
     def __call__(self, df: DataFrame, text_col: str = "stripped_review") -> DataFrame:
-        return df.withColumns({c: F.size(F.regexp_extract_all(F.col(text_col), F.lit(f"({p})"), 1)).cast("long") for c, p in zip(self.columns, self.patterns)})
+        found = counting.counter(counting.entities, list(self.columns))(F.col(text_col))
+        return df.withColumn("__found", found).withColumns({c: F.col(f"__found.{c}") for c in self.columns}).drop("__found")
 
 
 class SuffixGrammar:
@@ -62,10 +64,13 @@ class SuffixGrammar:
     endings = ("(?:tion|ment|ness|ity|er|s)", "(?:ing|ed|ize)", "(?:ous|ful|ive|able|al)", "ly")
 
     def __call__(self, df: DataFrame, text_col: str = "stripped_review") -> DataFrame:
-        n = F.greatest(F.size(F.regexp_extract_all(F.col(text_col), F.lit("(\\S+)"), 1)), F.lit(1))
-        found = {c: F.size(F.regexp_extract_all(F.lower(text_col), F.lit(f"\\b([a-z]+{e})\\b"), 1)) for c, e in zip(self.columns, self.endings)}
-        shares = {c: round4(x / n) for c, x in found.items()}
-        return df.withColumns(shares | {"subjectivity_score": round4((found["adj_pct"] + found["adv_pct"]) / n)})
+        kinds = [e.strip("(?:)").split("|") for e in self.endings]
+        count = counting.counter(lambda c: counting.endings(c, kinds), ["n", *self.columns[: len(kinds)]])
+        found = df.withColumn("__found", count(F.col(text_col)))
+        n = F.greatest(F.col("__found.n"), F.lit(1))
+        shares = {c: round4(F.col(f"__found.{c}") / n) for c in self.columns[: len(kinds)]}
+        both = F.col("__found.adj_pct") + F.col("__found.adv_pct")
+        return found.withColumns(shares | {"subjectivity_score": round4(both / n)}).drop("__found")
 
 
 def pandas_scorer(package: str, schema: str, make: Callable[[], Callable[[str], dict]]) -> Scorer:

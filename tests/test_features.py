@@ -249,3 +249,46 @@ def test_forecast_is_least_squares_on_differences(spark):
     assert [x.month for x in got][0] == datetime.date(2023, 11, 1)
     short = analytics.forecast(series.limit(11), 3).where("kind = 'forecast'").collect()
     assert len({x.value for x in short}) == 1
+
+
+def test_counts_equal_their_patterns(spark):
+    """Counts in Arrow batches against one regular expression each, over words of several scripts."""
+    words = [
+        "Abc", "Def", "in", "near", "xin", "In", "Ab12", "A1b2", "nation", "tion", "s", "cats", "ously", "ly", "able", "it's", "isn't", "NOT", "n't", "Été", "CAFÉ",
+        "catś", "́abc", "_foo", "Kelvin", "İstanbul", "\U0001d400BC", "١٢", "X١", "OK", "B2B", "!", "?!", "a.b",
+    ]
+    seps = [" ", " ", " ", "", "\n", "  ", " ", ", "]
+    texts = ["".join(words[(i * 7 + j * j * (i % 5 + 1)) % len(words)] + seps[(i + j * 3) % len(seps)] for j in range(i % 40)) for i in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *TEXTS])], "i int, raw_review string")
+    df = text.linguistic(df).select("i", "raw_review", "stripped_review", "num_caps", "negation_count", "sentence_count", "type_token_ratio")
+    df = scorers.SuffixGrammar()(scorers.RuleEntities()(df))
+    t = F.col("stripped_review")
+    found = lambda c, p: F.size(F.regexp_extract_all(c, F.lit(f"({p})"), 1))
+    n = F.greatest(found(t, "\\S+"), F.lit(1))
+    ws = text.words(t)
+    want = {
+        "stripped_review": F.trim(F.regexp_replace(F.coalesce("raw_review", F.lit("")), "(?U)http\\S+|www\\.\\S+|[\\s\\x1c-\\x1f]+", " ")),
+        "sentence_count": F.greatest(found(t, "[^.!?]+(?:[.!?]+|$)"), F.lit(1)),
+        "num_caps": F.size(F.filter(ws, lambda x: (x == F.upper(x)) & (x != F.lower(x)) & (F.length(x) > 1))),
+        "negation_count": F.size(F.filter(text.tokens(t), lambda x: x.isin(*text.NEGATIONS))),
+        "type_token_ratio": F.when(F.size(ws) == 0, 0.0).otherwise(labels.round4(F.size(F.array_distinct(ws)) / F.size(ws))),
+        **{c: found(t, p) for c, p in zip(scorers.RuleEntities.columns, scorers.RuleEntities.patterns)},
+        **{c: labels.round4(found(F.lower(t), f"\\b[a-z]+{e}\\b") / n) for c, e in zip(scorers.SuffixGrammar.columns, scorers.SuffixGrammar.endings)},
+    }
+    want["stripped_review"] = F.trim(F.regexp_replace(want["stripped_review"], " +", " "))
+    got = df.agg(*[F.count_if(~F.col(c).eqNullSafe(w)).alias(c) for c, w in want.items()]).first().asDict()
+    assert got == dict.fromkeys(want, 0)
+
+
+def test_features_make_no_row_per_token(spark):
+    """Neither tokens nor texts are dealt out: the counts of a text are made where it lies."""
+    df = spark.createDataFrame([("a", "Good bad.", 3.0, "2020-01-01")], "review_id string, raw_review string, stars double, review_date string")
+    groups = [g for g in features.DEFAULT_GROUPS if g != "time-weighting"]
+    plan = features.apply_features(df, lex(spark), groups)._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "Join" not in plan and "Exchange" not in plan
+
+
+def test_repeated_terms_take_the_join(spark):
+    """A lexicon with two rows of a term counts both, as the join does."""
+    df = spark.createDataFrame([("a", "good bad")], "review_id string, stripped_review string")
+    assert lexicon.lexicon_features(df, lex(spark).union(lex(spark))).first().worry_word_count == 2
